@@ -91,7 +91,7 @@ class Distance:
         d = self._memo.get(word)
         if d is None:
             if self._pair is None:
-                params = zstandard.ZstdCompressionParameters(format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0, min_match=3, window_log=14, hash_log=10, chain_log=10, search_log=5, target_length=16, strategy=zstandard.STRATEGY_BTOPT)
+                params = zstandard.ZstdCompressionParameters(format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0, min_match=3, window_log=15, hash_log=13, chain_log=13, search_log=6, target_length=64, strategy=zstandard.STRATEGY_BTULTRA)
                 self._pair = [zstandard.ZstdCompressor(compression_params=params, dict_data=zstandard.ZstdCompressionDict(c + _ANCHOR, dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for c in self.content]
             window = b"%b %b %b" % (_ANCHOR, word, _TAIL)
             d = len(self._pair[0].compress(window)) - len(self._pair[1].compress(window))
