@@ -34,12 +34,11 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def bucket_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame], scratch: Scratch, may_link: str) -> DataFrame:
-    """Edges that connect what verified links connect, from saved members (bucket long, id long, n long), ids unique in a bucket.
+    """Edges that connect what verified links connect, from members (bucket long, id long, n long; computed anew from a saved table each time).
 
     First each member is verified against the least member of its buckets. Then all pairs of a bucket that these
     links left in different components are verified, so no link between components is lost, while a bucket of
     copies costs one pair a member and not their square. may_link is SQL over n and other_n that every link fulfils.
-    Both sets of edges and the buckets stay in the scratch folder.
     """
     hubs = scratch.save(members.groupBy("bucket").agg(F.count("*").alias("c"), F.min("id").alias("hub")).where("c > 1").select("bucket", "hub"))
     star = members.join(hubs, "bucket").where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()

@@ -140,7 +140,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     rows = scratch.save(sketches(docs, words))
     live = rows.where("doc_id is not null and set_hash is not null")
     reps = scratch.save(live.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")))
-    members = scratch.save(reps.select("rep", "n_shingles", F.posexplode("bands").alias("band", "key")).select(F.xxhash64("band", "key").alias("bucket"), F.col("rep").alias("id"), F.col("n_shingles").alias("n")))
+    members = reps.select("rep", "n_shingles", F.posexplode("bands").alias("band", "key")).select(F.xxhash64("band", "key").alias("bucket"), F.col("rep").alias("id"), F.col("n_shingles").alias("n"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         near = scratch.save(_estimated(pairs, reps, percent / 100 - SLACK))

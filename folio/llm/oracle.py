@@ -19,6 +19,15 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id, d.
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT id, min(c) AS c FROM r GROUP BY id) m ON m.id = d.doc_id
 """
 
+_OP4 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 _OP8 = r"""
 WITH w AS (SELECT doc_id, text, coalesce('=' || source, 'null') AS host, md5(coalesce(text, '')) AS th, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
 ), win AS (SELECT doc_id, unnest(range(1, len(ws) - 6)) AS i, ws FROM w
@@ -45,4 +54,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_w
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_minhash_near_dedup": _OP2, "op8_quality_rules": _OP8}
+    return {"op2_minhash_near_dedup": _OP2, "op4_exact_top_k": _OP4, "op8_quality_rules": _OP8}
