@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folio.llm import lines, mixing, near_dedup, pieces, pseudonyms, quality, topk, toxicity
+from folio.llm import licenses, lines, mixing, near_dedup, pieces, pseudonyms, quality, repeats, topk, toxicity
 from folio.llm.tables import table
 
 
@@ -27,6 +28,10 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), least=50).drop("spans")
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), pieces.load())
 
@@ -43,5 +48,10 @@ def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonyms(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.license_scan(licenses.document_files(table(spark, sf_dir, "documents")))
+    return found.withColumn("doc_id", F.regexp_extract("path", r"(-?\d+)\.txt$", 1).cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op")}
