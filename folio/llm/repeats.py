@@ -293,22 +293,27 @@ def _compare(segments: DataFrame, least: int) -> DataFrame:
         buf = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
         offsets = np.concatenate([[0], np.cumsum([len(r[3]) for r in rows])])
         doc, start = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
-        docs, begins, ends = [], [], []
+        row_of = np.repeat(np.arange(len(rows)), np.diff(offsets))
+        # How many more removed stretches begin than end at each byte.
+        change = np.zeros(len(buf) + 1, np.int32)
         for size, places in maximal_repeats(buf, offsets, least):
-            r = np.searchsorted(offsets, places, "right") - 1
-            d = doc[r]
-            late = d > d.min()
-            docs.append(d[late])
-            begins.append((start[r] + places - offsets[r])[late])
-            ends.append(begins[-1] + size)
-        if docs:
-            yield from _rows([(0, None, d, None, None, x) for d, x in _by_doc(np.concatenate(docs), np.concatenate(begins), np.concatenate(ends))])
+            d = doc[row_of[places]]
+            late = places[d > d.min()]
+            change[late] += 1  # the starts of a repeat differ
+            np.subtract.at(change, late + size, 1)
+        gone = np.cumsum(change[:-1]) > 0
+        edge = np.zeros(len(buf), bool)
+        edge[offsets[:-1]] = True
+        first = np.flatnonzero(gone & (edge | ~np.concatenate([[False], gone[:-1]])))
+        last = np.flatnonzero(gone & (np.append(edge[1:], True) | ~np.append(gone[1:], False)))
+        r = row_of[first]
+        yield from _rows([(0, None, d, None, None, x) for d, x in _by_doc(doc[r], start[r] + first - offsets[r], start[r] + last + 1 - offsets[r])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held, last = [], 0, None
         for batch in batches:
             for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held >= _SLICE // 2 and r[0] != last:
+                if held >= _SLICE // 4 and r[0] != last:
                     yield from settle(rows)
                     rows, held = [], 0
                 rows.append(r)
