@@ -24,12 +24,12 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
         seen = sign
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = scratch.save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = scratch.save(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")))
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e_next = scratch.save(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        scratch.drop(e, least, large, low)
+        scratch.drop(e, large)
         e = e_next
 
 
@@ -52,4 +52,4 @@ def bucket_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
     cross = rest.join(other, "bucket").where("id < other and c <> other_c and id <> hub and other <> hub").where(may_link).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
     second = scratch.save(verify(scratch.save(cross)))
     scratch.drop(held, named, mixed, rest)
-    return first.unionByName(second)
+    return found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(second)
