@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.scratch import Scratch
+from folio.llm.scratch import Scratch, release
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -44,6 +44,7 @@ def bucket_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
     star = members.join(hubs, "bucket").where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     first = scratch.save(verify(scratch.save(star)))
     found = components(first, scratch)
+    release(scratch.spark)
     held = scratch.save(members.join(hubs, "bucket"))
     named = scratch.save(held.join(found, "id", "left").select("bucket", "id", "n", "hub", F.coalesce("component", "id").alias("c")))
     mixed = scratch.save(named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket"))

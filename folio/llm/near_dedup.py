@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.graph import bucket_links, components
-from folio.llm.scratch import Scratch
+from folio.llm.scratch import Scratch, only, release
 from folio.llm.textbytes import LOWER, U, mix, sequence_hash, slices, span_hash, word_bounds
 
 REGISTERS = 128
@@ -30,8 +30,6 @@ BAND = 4
 MANTISSA = 10
 ROUNDS = 8
 SLACK = 0.22
-#: Ids of at most so many documents are sent to all executors (8 bytes each); beyond, documents are joined by a shuffle.
-BROADCAST_IDS = 500_000
 _BITS = 57
 _SEEDS = mix(np.arange(1, ROUNDS + REGISTERS + 1, dtype=np.uint64) * U(0xA24BAED4963EE407))
 
@@ -145,14 +143,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     def verify(pairs: DataFrame) -> DataFrame:
         near = scratch.save(_estimated(pairs, reps, percent / 100 - SLACK))
         ids = scratch.save(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-        if not (n := ids.count()):
-            return near
-        needed = docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id", "left_semi")
-        needed = scratch.save(needed)
+        needed = scratch.save(only(docs, "doc_id", ids))
         side = lambda k: needed.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}"))
         texts = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
         return _verified(texts, words, percent).distinct()
 
+    release(docs.sparkSession)
     links = bucket_links(members, verify, scratch, f"100 * least(n, other_n) >= {int(percent)} * greatest(n, other_n)")
     found = components(links, scratch)
     named = scratch.save(reps.select("set_hash", "n_shingles", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select("set_hash", "n_shingles", F.coalesce("component", "rep").alias("component_id")))

@@ -14,7 +14,6 @@ by a grouped minimum that is combined before the shuffle.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -24,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.scratch import Scratch
+from folio.llm.scratch import Scratch, release
 from folio.llm.textbytes import U, mix, prefix_hash, slices, span_hash
 
 KMER = 20
@@ -373,12 +372,6 @@ def _apply(joined: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>")
 
 
-def _release(docs: DataFrame) -> None:
-    """Lets Spark delete the shuffle files of finished jobs."""
-    gc.collect()
-    docs.sparkSession._jvm.System.gc()
-
-
 def remove_repeats(docs: DataFrame, least: int = 50, hot_runs: int = HOT_RUNS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) of each row: bytes that ``least``-byte strings cover
     which also start in a document with a smaller doc_id, as judged on the input.
@@ -390,10 +383,10 @@ def remove_repeats(docs: DataFrame, least: int = 50, hot_runs: int = HOT_RUNS) -
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets = 1 << max(10, (8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))).bit_length() - 1)
     marks = scratch.save(_settle(_deal(docs.where("doc_id is not null"), least, buckets), least, hot_runs))
-    _release(docs)
+    release(docs.sparkSession)
     asked = marks.where("kind > 0").groupBy("doc_id").agg(F.collect_list(F.struct("kind", "grp", "start", "size")).alias("asked"))
     cut = scratch.save(_cut(docs.join(asked, "doc_id").select("doc_id", "text", "asked"), least))
-    _release(docs)
+    release(docs.sparkSession)
     more = scratch.save(_compare(cut.where("kind = 1").select("grp", "doc_id", "start", "bytes"), least))
     windows = cut.where("kind = 2").select("grp", "other", "doc_id", "start")
     owners = scratch.save(windows.groupBy("grp", "other").agg(F.min("doc_id").alias("owner")))

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -23,6 +25,21 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+#: Ids of at most so many rows are sent to all executors (8 bytes each); beyond, tables are joined by a shuffle.
+BROADCAST_IDS = 500_000
+
+
+def only(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows of df whose key is in the saved, distinct ids (one column, named like key)."""
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, "left_semi")
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished jobs."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class Scratch:
     """Cuts lineage: a saved table is read back from the shared folder, so a lost executor costs no more than its own tasks."""
 
