@@ -67,8 +67,7 @@ class Pieces:
 
     def _segment(self, text: str) -> bytes:
         """Ids, as int32, of a text whose spaces are still spaces."""
-        s = text.replace(_MARK, "\0\0").replace(" ", _MARK) if _MARK in text else text.replace(" ", _MARK)
-        own = [i for i in range(len(s)) if s.startswith("\0\0", i)] if _MARK in text else []
+        s = text.replace(" ", _MARK)
         n = len(s)
         best, start, piece = [float("-inf")] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         best[0], at, single, unknown = 0.0, 0, self.single, self.unknown
@@ -84,13 +83,10 @@ class Pieces:
             if s[at] not in single:
                 best[at + 1], start[at + 1] = best[at] + unknown, at
             at += 1
-        out, e, marks = [], n, set(own)
+        out, e = [], n
         while e:
             if piece[e] >= 0:
                 out.append(piece[e])
-            elif s[e - 1] == "\0" and e - 2 in marks:
-                e -= 1
-                out.extend(self.bytes_at[b] for b in reversed(_MARK.encode()))
             else:
                 out.extend(self.bytes_at[b] for b in reversed(s[e - 1].encode("utf-8", "surrogatepass")))
             e = start[e]
@@ -103,10 +99,15 @@ class Pieces:
             self._build()
         if not text:
             return np.zeros(0, np.int32)
+        # A U+2581 of the text is no space, so no piece reaches over it.
+        mark = array("i", [self.bytes_at[b] for b in _MARK.encode()]).tobytes()
+        return np.frombuffer(mark.join(map(self._units, f" {text}".split(_MARK))), np.int32)
+
+    def _units(self, text: str) -> bytes:
         if self.whole:
-            return np.frombuffer(self._segment(" " + text), np.int32)
+            return self._segment(text)
         memo, out = self.memo, []
-        for unit in _RUNS.findall(" " + text):
+        for unit in _RUNS.findall(text):
             ids = memo.get(unit)
             if ids is None:
                 ids = self._segment(unit)
@@ -115,7 +116,7 @@ class Pieces:
                         memo.clear()
                     memo[unit] = ids
             out.append(ids)
-        return np.frombuffer(b"".join(out), np.int32)
+        return b"".join(out)
 
     def decode(self, ids: np.ndarray) -> str:
         if not self._ready:
