@@ -7,22 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.scratch import Scratch, release
+from folio.llm.scratch import BROADCAST_IDS, Scratch, release
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, component) of every node of edges (a, b) that is not the least of its component.
 
-    Alternates large and small stars until the set of edges stands still. Each star is a minimum per node, combined
+    Alternates large and small stars until only stars are left. Each star is a minimum per node, combined
     before the shuffle, joined back to the edges; no step gathers a component's nodes in one task.
     """
     e = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = None
-    while True:
-        sign = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if sign == seen or not sign[0]:
-            return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
-        seen = sign
+    while not _are_stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = scratch.save(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
@@ -31,6 +26,13 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         e_next = scratch.save(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         scratch.drop(e, large)
         e = e_next
+    return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
+
+
+def _are_stars(e: DataFrame) -> bool:
+    """Whether each u of e (u, v) has one v, which is no u itself."""
+    ends = e.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(e.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty()
 
 
 def bucket_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame], scratch: Scratch, may_link: str) -> DataFrame:
@@ -40,12 +42,13 @@ def bucket_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
     links left in different components are verified, so no link between components is lost, while a bucket of
     copies costs one pair a member and not their square. may_link is SQL over n and other_n that every link fulfils.
     """
-    hubs = scratch.save(members.groupBy("bucket").agg(F.count("*").alias("c"), F.min("id").alias("hub")).where("c > 1").select("bucket", "hub"))
-    star = members.join(hubs, "bucket").where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    hubs = scratch.save(members.groupBy("bucket").agg(F.count("*").alias("c"), F.min("id").alias("hub"), F.min_by("n", "id").alias("other_n")).where("c > 1").select("bucket", "hub", "other_n"))
+    held = scratch.save(members.join(F.broadcast(hubs) if hubs.count() <= BROADCAST_IDS else hubs, "bucket"))
+    release(scratch.spark)
+    star = held.where("id <> hub").where(may_link).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     first = scratch.save(verify(scratch.save(star)))
     found = components(first, scratch)
     release(scratch.spark)
-    held = scratch.save(members.join(hubs, "bucket"))
     named = scratch.save(held.join(found, "id", "left").select("bucket", "id", "n", "hub", F.coalesce("component", "id").alias("c")))
     mixed = scratch.save(named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket"))
     rest = scratch.save(named.join(mixed, "bucket", "left_semi"))

@@ -27,6 +27,8 @@ def shared_root(spark: SparkSession) -> str:
 
 #: Ids of at most so many rows are sent to all executors (8 bytes each); beyond, tables are joined by a shuffle.
 BROADCAST_IDS = 500_000
+#: A table with lists is sent to all executors if it holds at most so many numbers.
+BROADCAST_NUMBERS = 2_000_000
 
 
 def only(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
