@@ -18,12 +18,13 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """
     e = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     while not _are_stars(e):
+        rows = 2 * e.count()
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = scratch.save(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        large = scratch.save(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), rows)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e_next = scratch.save(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        e_next = scratch.save(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), rows)
         scratch.drop(e, large)
         e = e_next
     return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
@@ -45,13 +46,14 @@ def bucket_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
     hubs = scratch.save(members.groupBy("bucket").agg(F.count("*").alias("c"), F.min("id").alias("hub"), F.min_by("n", "id").alias("other_n")).where("c > 1").select("bucket", "hub", "other_n"))
     held = scratch.save(members.join(F.broadcast(hubs) if hubs.count() <= BROADCAST_IDS else hubs, "bucket"))
     release(scratch.spark)
+    rows = held.count()
     star = held.where("id <> hub").where(may_link).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    first = scratch.save(verify(scratch.save(star)))
+    first = scratch.save(verify(scratch.save(star, rows)))
     found = components(first, scratch)
     release(scratch.spark)
-    named = scratch.save(held.join(found, "id", "left").select("bucket", "id", "n", "hub", F.coalesce("component", "id").alias("c")))
-    mixed = scratch.save(named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket"))
-    rest = scratch.save(named.join(mixed, "bucket", "left_semi"))
+    named = scratch.save(held.join(found, "id", "left").select("bucket", "id", "n", "hub", F.coalesce("component", "id").alias("c")), rows)
+    mixed = scratch.save(named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket"), rows)
+    rest = scratch.save(named.join(mixed, "bucket", "left_semi"), rows)
     other = rest.select("bucket", F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("c").alias("other_c"))
     cross = rest.join(other, "bucket").where("id < other and c <> other_c and id <> hub and other <> hub").where(may_link).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
     second = scratch.save(verify(scratch.save(cross)))

@@ -142,7 +142,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     def verify(pairs: DataFrame) -> DataFrame:
         near = scratch.save(_estimated(pairs, reps, percent / 100 - SLACK))
-        ids = scratch.save(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+        ids = scratch.save(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), 2 * near.count())
         needed = scratch.save(only(docs, "doc_id", ids))
         side = lambda k: needed.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}"))
         texts = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")

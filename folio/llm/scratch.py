@@ -31,6 +31,11 @@ BROADCAST_IDS = 500_000
 BROADCAST_NUMBERS = 2_000_000
 
 
+#: Short rows of one file, and files that a table may have however short it is.
+ROWS_OF_FILE = 100_000
+LEAST_FILES = 8
+
+
 def only(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     """Rows of df whose key is in the saved, distinct ids (one column, named like key)."""
     return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, "left_semi")
@@ -50,7 +55,10 @@ class Scratch:
         self.root = f"{shared_root(spark)}/folio-{name}-{uuid.uuid4().hex}"
         self.made = 0
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """rows: how many short rows df has at most, which then go to no more files and tasks than they need."""
+        if rows is not None:
+            df = df.coalesce(max(LEAST_FILES, rows // ROWS_OF_FILE))
         path = f"{self.root}/{self.made}"
         self.made += 1
         df.write.parquet(path)
