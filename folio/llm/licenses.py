@@ -35,11 +35,11 @@ LEAST_COSINE = 0.7
 #: A file is a license file from so many percent of its terms in notice lines, or by its name.
 FILE_PERCENT = 50
 FILE_NAMES = "(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
-_SPLIT = "[^a-z0-9]+"
+_BETWEEN = "[^A-Za-z0-9]+"
 
 
 def _terms(text: Column) -> Column:
-    return F.array_remove(F.split(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), _SPLIT), "")
+    return F.array_remove(F.split(F.lower(F.regexp_replace(text, _BETWEEN, " ")), " "), "")
 
 
 def _python_terms(text: str) -> list[str]:
