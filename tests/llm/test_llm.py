@@ -147,6 +147,44 @@ def test_line_dedup(spark):
     assert lines.dedup_lines(df.limit(0)).count() == 0
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(new[j] + 1, row[j + 1] + 1, row[j] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_line_dedup_finds_edited_lines(spark):
+    """Groups as by edit distances of all pairs: a word changed, characters changed, short lines, punctuation."""
+    rng = random.Random(8)
+    voc = ["".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    all_lines = []
+    for n in (1, 2, 4, 7, 8, 10, 10, 12, 20, 20, 30, 60, 130):
+        w = [rng.choice(voc) for _ in range(n)]
+        w[0] += "abcdef"
+        changed, typed = list(w), list(" ".join(w))
+        changed[n // 2] = rng.choice(voc)
+        for _ in range(len(typed) // 15):
+            typed[rng.randrange(len(typed))] = "e"
+        all_lines += [" ".join(w), " ".join(changed), "".join(typed), ", ".join(w).upper() + "!"]
+    norm = [" ".join(x.lower().replace(",", "").replace("!", "").split()) for x in all_lines]
+    group = list(range(len(norm)))
+    for i in range(len(norm)):
+        for j in range(i):
+            n = max(len(norm[i]), len(norm[j]))
+            if abs(len(norm[i]) - len(norm[j])) * 5 <= n and edit_distance(norm[i], norm[j]) * 5 <= n:
+                a, b = sorted((group[i], group[j]))
+                group = [a if g == b else g for g in group]
+    df = spark.createDataFrame(list(enumerate(all_lines)), "doc_id long, text string")
+    gone = {r.doc_id for r in lines.dedup_lines(df).collect() if r.n_removed}
+    assert gone == {i for i, g in enumerate(group) if g != i} and len(gone) > 30
+    marks = spark.createDataFrame([(1, "-----"), (2, "-----"), (3, "====")], "doc_id long, text string")
+    assert {r.doc_id for r in lines.dedup_lines(marks).collect() if r.n_removed} == {2}
+
+
 def test_mixing(spark):
     rng = random.Random(5)
     rows = [(i, " ".join("w" * 1 for _ in range(rng.randint(0, 40))), "en", rng.choice(["a", "b", "c", None]) if i % 3 else "a", 0, 0) for i in range(3000)]
