@@ -113,7 +113,7 @@ def social(f: Feistel, s: str, back: bool = False) -> str | None:
 def phone(f: Feistel, s: str, back: bool = False) -> str | None:
     """10 digits in groups, or + and 8 to 15 digits; the country code stays."""
     digits = re.sub(r"\D", "", s)
-    code = len(re.match(r"\+(\d{1,3})", s)[1]) if s.startswith("+") else len(digits) - 10
+    code = next((n for n in (1, 2) if digits[:n] in _CODES), 3) if s.startswith("+") else len(digits) - 10
     if not 8 <= len(digits) <= 15 or code < 0 or len(digits) - code < 6:
         return None
     return _fill(s, digits[:code] + _number(f, digits[code:], "phone", back))
@@ -169,7 +169,7 @@ def secret(f: Feistel, s: str, back: bool = False) -> str | None:
 #: kind -> pattern, in the order in which they are tried at a position.
 PATTERNS: dict[str, tuple[str, Callable[..., str | None]]] = {
     "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", email),
-    "secret": (r"(?:(?<=password=)|(?<=passwd=)|(?<=token = \")|(?<=token=)|(?<=secret=)|(?<=api_key=)|(?<=apikey=)|(?<=password: )|(?<=token: ))[A-Za-z0-9_+/-]{8,}|\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{30,}", secret),
+    "secret": (r"(?:(?i:(?<=password=)|(?<=passwd=)|(?<=token = \")|(?<=token=)|(?<=secret=)|(?<=api_key=)|(?<=apikey=)|(?<=password: )|(?<=token: )))[A-Za-z0-9_+/-]{8,}|\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{30,}", secret),
     "account": (r"\b[A-Z]{2}\d{2}[A-Z0-9]{11,30}\b", account),
     "date": (r"(?<![\d./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}[/.-]\d{1,2}[/.-]\d{4})(?![\d/-])", date),
     "address": (r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)", address),
@@ -178,7 +178,20 @@ PATTERNS: dict[str, tuple[str, Callable[..., str | None]]] = {
     "card": (r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)", card),
 }
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, (p, _) in PATTERNS.items()))
-_HINT = re.compile(r"[0-9@]")
+#: Every pattern needs one of these: a digit, the @ of an address, or a prefix of a secret (gh?_ and AKIA may have no digit).
+_HINT = re.compile(r"[0-9@]|gh[pousr]_|AKIA|(?i:password|passwd|token|secret|api_?key)")
+_GROUP = re.compile(r"\d+")
+#: Country codes of one and two digits; all others have three.
+_CODES = {"1", "7", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
+
+
+def _card_at(text: str, start: int, f: Feistel, back: bool) -> tuple[str, int, int] | None:
+    """The longest valid card of whole groups of digits that begins at start, of up to 19 digits; later groups get their own turn."""
+    ends, end, digits = [], start, 0
+    while (m := _GROUP.match(text, end)) and (digits := digits + m.end() - m.start()) <= 19:
+        ends.append(m.end())
+        end = m.end() + (text[m.end() : m.end() + 1] in (" ", "-"))
+    return next(((new, start, e) for e in reversed(ends) if (new := card(f, text[start:e], back)) is not None), None)
 
 
 def pseudonymised(text: str, f: Feistel, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
@@ -188,14 +201,15 @@ def pseudonymised(text: str, f: Feistel, back: bool = False) -> tuple[str, list[
         return text, spans
     while m := _ANY.search(text, at):
         new = PATTERNS[m.lastgroup][1](f, m[0], back)
-        if new is None and m.lastgroup == "phone" and (c := re.compile(PATTERNS["card"][0]).match(text, m.start())):
-            new, m = card(f, c[0], back), c
+        kind, (start, end) = m.lastgroup, m.span()
+        if new is None and kind in ("phone", "card") and text[start].isdigit() and (c := _card_at(text, start, f, back)):
+            kind, (new, start, end) = "card", c
         if new is None:  # not valid; look again behind its first run of digits
-            at = m.end() if m.lastgroup == "card" else max(m.start() + 1, re.compile(r"\w*").match(text, m.start()).end())
+            at = max(m.start() + 1, re.compile(r"\w*").match(text, m.start()).end())
             continue
-        out += [text[done : m.start()], new]
-        spans.append((m.lastgroup or "card", m.start(), m.end()))
-        done = at = m.end()
+        out += [text[done:start], new]
+        spans.append((kind, start, end))
+        done = at = end
     return "".join([*out, text[done:]]), spans
 
 

@@ -230,6 +230,17 @@ def test_pseudonyms():
     assert pseudonyms.pseudonymised("clean 1234567890123456 and 300.1.1.1 text", f)[1] == []
 
 
+def test_pseudonyms_leave_nothing_in_clear():
+    f = pseudonyms.Feistel(b"k")
+    for text in ("4111 1111 1111 1111 12/25", "4111-1111-1111-1111 123", "7 4111 1111 1111 1111", "no 12 4111111111111111 34"):
+        out, spans = pseudonyms.pseudonymised(text, f)
+        assert [k for k, _, _ in spans] == ["card"] and "1111" not in out and pseudonyms.pseudonymised(out, f, True)[0] == text
+    for text in ("password=correcthorse", 'TOKEN = "abcdefghij"', "Api_Key=abcdefghij"):
+        assert [k for k, _, _ in pseudonyms.pseudonymised(text, f)[1]] == ["secret"]
+    same = {"".join(c for c in pseudonyms.phone(f, s) if c.isdigit()) for s in ("+14155550100", "+1 415 555 0100", "+1 (415) 555-0100")}
+    assert len(same) == 1 and same.pop().startswith("1")
+
+
 def test_toxicity():
     rng = random.Random(6)
     plain = ["the", "of", "thing", "water", "stone", "where", "under"]
