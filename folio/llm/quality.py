@@ -131,7 +131,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def quality(docs: DataFrame) -> DataFrame:
-    """One row for each row of docs: doc_id, _COUNTS, base_failed, frequent_chars, line_chars, kept, text_hash.
+    """One row for each row of docs: doc_id, _COUNTS, base_failed, frequent_chars, line_chars, kept, text_hash,
+    host, frequent_lines (md5 of its frequent lines, as normalised).
 
     base_failed: under MIN_WORDS words, or more than MAX_REPEAT_PERCENT of the words in repeated windows. kept: not
     base_failed, and at least MIN_LEFT_PERCENT of the characters of its normalised lines are in lines that are not
@@ -141,17 +142,20 @@ def quality(docs: DataFrame) -> DataFrame:
     docs = _keyed(docs)
     frequent = frequent_lines(docs).withColumn("frequent", F.lit(True)).drop("documents")
     left = _lines(docs).select("doc_id", "text_hash", "host", "pos", "h", "n").join(frequent, ["host", "h"], "left")
-    summed = left.groupBy("doc_id", "text_hash", "host").agg(F.sum(F.when(F.col("frequent"), F.col("n")).otherwise(0)).alias("frequent_chars"), F.sum("n").alias("line_chars"), F.count_if(F.col("pos") == 0).alias("rows"))
-    summed = summed.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("th"), F.col("host").alias("ho"), (F.col("frequent_chars") / F.col("rows")).cast("long").alias("frequent_chars"), (F.col("line_chars") / F.col("rows")).cast("long").alias("line_chars"))
+    summed = left.groupBy("doc_id", "text_hash", "host").agg(F.sum(F.when(F.col("frequent"), F.col("n")).otherwise(0)).alias("frequent_chars"), F.sum("n").alias("line_chars"), F.count_if(F.col("pos") == 0).alias("rows"), F.sort_array(F.collect_set(F.when(F.col("frequent"), F.col("h")))).alias("frequent_lines"))
+    summed = summed.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("th"), F.col("host").alias("ho"), (F.col("frequent_chars") / F.col("rows")).cast("long").alias("frequent_chars"), (F.col("line_chars") / F.col("rows")).cast("long").alias("line_chars"), "frequent_lines")
     m = measured(docs, "text_hash", "host")
     out = m.join(summed, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("th")) & (F.col("host") == F.col("ho")), "left")
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     enough = 100 * (F.coalesce("line_chars", F.lit(0)) - F.coalesce("frequent_chars", F.lit(0))) >= MIN_LEFT_PERCENT * F.coalesce("line_chars", F.lit(0))
-    return out.select("doc_id", *_COUNTS, base.alias("base_failed"), F.coalesce("frequent_chars", F.lit(0)).alias("frequent_chars"), F.coalesce("line_chars", F.lit(0)).alias("line_chars"), (~base & enough).alias("kept"), "text_hash", "host")
+    return out.select("doc_id", *_COUNTS, base.alias("base_failed"), F.coalesce("frequent_chars", F.lit(0)).alias("frequent_chars"), F.coalesce("line_chars", F.lit(0)).alias("line_chars"), (~base & enough).alias("kept"), "text_hash", "host", F.coalesce("frequent_lines", F.array().cast("array<string>")).alias("frequent_lines"))
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, that quality() keeps."""
-    verdicts = quality(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th"), F.col("host").alias("_ho")).distinct()
-    th, ho = F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")), _host(docs["source"].cast("string"))
-    return docs.join(verdicts, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (th == F.col("_th")) & (ho == F.col("_ho")), "left_semi")
+    """The rows of docs, with all their columns, that quality() keeps, text without the lines that are frequent in its host."""
+    verdicts = quality(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th"), F.col("host").alias("_ho"), F.col("frequent_lines").alias("_fl")).distinct()
+    text = docs["text"].cast("string")
+    th, ho = F.md5(F.coalesce(text, F.lit("")).cast("binary")), _host(docs["source"].cast("string"))
+    kept = docs.join(verdicts, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (th == F.col("_th")) & (ho == F.col("_ho")))
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("_fl", F.md5(normal_line(x).cast("binary")))), "\n")
+    return kept.withColumn("text", F.when(F.size("_fl") == 0, text).otherwise(left)).select(*docs.columns)

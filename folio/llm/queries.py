@@ -41,7 +41,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(table(spark, sf_dir, "documents")).drop("text_hash", "host")
+    return quality.quality(table(spark, sf_dir, "documents")).drop("text_hash", "host", "frequent_lines")
 
 
 def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:

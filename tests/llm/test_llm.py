@@ -139,6 +139,13 @@ def test_quality_counts(spark):
     assert quality.quality(empty(spark)).count() == 0
 
 
+def test_frequent_lines_go(spark):
+    body = lambda i: "\n".join(" ".join(f"w{i}x{k}y{j}" for j in range(15)) for k in range(2))
+    rows = [(i, f"Home | About\n{body(i)}\n\n home | about ", "en", "a", 0, 9) for i in range(12)] + [(50, f"Home | About\n{body(50)}", "en", "b", 0, 9), (51, "Home | About", "en", "a", 0, 9)]
+    got = {r.doc_id: r.text for r in quality.kept_documents(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: body(i) + "\n" for i in range(12)} | {50: "Home | About\n" + body(50)}
+
+
 def test_line_dedup(spark):
     a = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
     df = spark.createDataFrame([(2, a + "\nother words stand here"), (1, "start of it\n" + a), (3, None), (4, ""), (5, a.upper() + "\nThat is 12 new"), (6, "that is 99 new")], "doc_id long, text string")
