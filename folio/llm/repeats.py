@@ -9,7 +9,8 @@ fetched and an enhanced suffix array is built over them: sorted suffixes, common
 stack that yields the intervals of the common-prefix tree. An interval whose suffixes have different characters on
 their left is a maximal repeat; it is put out with all its occurrences. Minimizers with more than HOT_RUNS different
 runs (a passage that stands in a large share of all documents) are split into their windows, whose owners are found
-by a grouped minimum that is combined before the shuffle.
+in buckets by hash. Equality of runs is that of a 64-bit hash of all their bytes and of their minimizer, equality of
+windows that of two 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -24,10 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.scratch import Scratch, release
-from folio.llm.textbytes import U, mix, prefix_hash, slices, span_hash
+from folio.llm.textbytes import TABLE, U, eights, mix, slices, span_hash
 
 KMER = 20
 HOT_RUNS = 1000
+#: Runs are dealt to one bucket for so many bytes of text, windows to one for so many windows.
+BUCKET_BYTES = 8 << 20
+BUCKET_WINDOWS = 500_000
+MIN_BUCKETS = 1000
 _SLICE = 2 << 20
 
 
@@ -45,10 +50,9 @@ def runs(buf: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray,
     n, none = len(buf), (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
     if n < least:
         return none
-    k = min(KMER, least)
-    sums, down = prefix_hash(buf)
-    h = mix((sums[k:] - sums[:-k]) * down[: n - k + 1])
-    m = _least_in_windows(h, least - k + 1)
+    view, m = eights(buf), n - KMER + 1
+    h = mix(view[:m] * TABLE[2] + view[8 : m + 8] * TABLE[3] + view[KMER - 8 : m + KMER - 8] * TABLE[4])
+    m = _least_in_windows(h, least - KMER + 1)
     # A window must end within its text: the last least-1 starts of a text have none.
     step = np.zeros(n + 1, np.int32)
     np.add.at(step, np.maximum(offsets[:-1], offsets[1:] - least + 1), 1)
@@ -324,30 +328,80 @@ def _compare(segments: DataFrame, least: int) -> DataFrame:
     return segments.repartition("grp").sortWithinPartitions("grp").mapInArrow(run, _MARK)
 
 
-def _cut(joined: DataFrame, least: int) -> DataFrame:
-    """(kind, grp, other, doc_id, start, bytes) of the runs asked for: kind 1 whole, kind 2 as hashes of their windows."""
+def _window_hashes(buf: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of the ``least`` bytes from each position on."""
+    view = eights(buf)
+    one, two = np.full(len(at), TABLE[5]), np.full(len(at), TABLE[6])
+    for i in [*range(0, least - 8, 8), least - 8]:
+        word = view[at + i]
+        one, two = mix(one ^ word), mix(two + word)
+    return one, two
+
+
+def _cut(joined: DataFrame, least: int, buckets: int) -> DataFrame:
+    """(kind, grp, doc_id, start, bytes) of the runs asked for: kind 1 whole; kind 2 as packed hashes of their windows, dealt
+    to buckets grp by hash, the least document's of those equal within a batch."""
+
+    def windows(parts: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple]:
+        doc = np.concatenate([np.full(len(p[3]), p[0], np.int64) for p in parts])
+        one, two, start = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+        where = (one % U(buckets)).astype(np.int64)
+        order = np.lexsort((start, doc, where))
+        doc, one, two, start, where = doc[order], one[order], two[order], start[order], where[order]
+        cut = np.flatnonzero(np.diff(where, prepend=-1))
+        for a, b in zip(cut, [*cut[1:], len(where)], strict=True):
+            yield 2, int(where[a]), None, None, _pack(doc[a:b], one[a:b], two[a:b], start[a:b])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out, hot = [], []
             for doc, text, asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
-                sums = None
+                spans = []
                 for a in asked:
                     s, n = a["start"], a["size"]
                     if a["kind"] == 1:
-                        out.append((1, a["grp"], 0, doc, s, raw[s : s + n + least - 1]))
-                        continue
-                    if sums is None:
-                        sums, down = prefix_hash(np.frombuffer(raw, np.uint8))
-                    p = np.arange(s, s + n)
-                    w = (sums[p + least] - sums[p]) * down[p]
-                    out += [(2, x, y, doc, int(i), None) for x, y, i in zip(mix(w).view(np.int64).tolist(), mix(w * U(0x9E3779B97F4A7C15) + U(1)).view(np.int64).tolist(), p, strict=True)]
+                        out.append((1, a["grp"], doc, s, raw[s : s + n + least - 1]))
+                    else:
+                        spans.append(np.arange(s, s + n))
+                if spans:
+                    at = np.concatenate(spans)
+                    hot.append((doc, *_window_hashes(np.frombuffer(raw, np.uint8), at, least), at))
+            if hot:
+                out += windows(hot)
             if out:
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["kind", "grp", "other", "doc_id", "start", "bytes"])
+                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["kind", "grp", "doc_id", "start", "bytes"])
+
+    return joined.mapInArrow(run, "kind int, grp long, doc_id long, start long, bytes binary")
+
 
-    return joined.mapInArrow(run, "kind int, grp long, other long, doc_id long, start long, bytes binary")
+def _settle_windows(dealt: DataFrame, least: int) -> DataFrame:
+    """(doc_id, blob) of the windows in (grp, bytes) that a smaller document has as well."""
+
+    def bucket(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        doc, one, two, start = (np.concatenate(c) for c in zip(*(_unpack(b, np.uint64, np.uint64, np.int64) for b in blobs), strict=True))
+        order = np.lexsort((doc, two, one))
+        doc, one, two, start = doc[order], one[order], two[order], start[order]
+        new = np.ones(len(doc), bool)
+        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        gone = doc > doc[np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))]
+        found = list(_by_doc(doc[gone], start[gone], start[gone] + least))
+        yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.int64()), pa.array([b for _, b in found], pa.binary())], ["doc_id", "blob"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, blobs = None, []
+        for batch in batches:
+            for number, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if number != current and blobs:
+                    yield from bucket(blobs)
+                    blobs = []
+                current = number
+                blobs.append(blob)
+        if blobs:
+            yield from bucket(blobs)
+
+    return dealt.repartition("grp").sortWithinPartitions("grp").mapInArrow(run, "doc_id long, blob binary")
 
 
 def _apply(joined: DataFrame) -> DataFrame:
@@ -381,29 +435,18 @@ def remove_repeats(docs: DataFrame, least: int = 50, hot_runs: int = HOT_RUNS) -
     """
     scratch = Scratch(docs.sparkSession, "repeats")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    buckets = 1 << max(10, (8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))).bit_length() - 1)
+    if least < KMER:
+        raise ValueError(f"least is at least {KMER}")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = 1 << max(MIN_BUCKETS, size // BUCKET_BYTES).bit_length()
     marks = scratch.save(_settle(_deal(docs.where("doc_id is not null"), least, buckets), least, hot_runs))
     release(docs.sparkSession)
+    hot = marks.where("kind = 2").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     asked = marks.where("kind > 0").groupBy("doc_id").agg(F.collect_list(F.struct("kind", "grp", "start", "size")).alias("asked"))
-    cut = scratch.save(_cut(docs.join(asked, "doc_id").select("doc_id", "text", "asked"), least))
+    cut = scratch.save(_cut(docs.join(asked, "doc_id").select("doc_id", "text", "asked"), least, max(MIN_BUCKETS, hot // BUCKET_WINDOWS)))
     release(docs.sparkSession)
     more = scratch.save(_compare(cut.where("kind = 1").select("grp", "doc_id", "start", "bytes"), least))
-    windows = cut.where("kind = 2").select("grp", "other", "doc_id", "start")
-    owners = scratch.save(windows.groupBy("grp", "other").agg(F.min("doc_id").alias("owner")))
-    late = windows.join(owners, ["grp", "other"]).where("doc_id > owner").select("doc_id", "start")
-    split = late.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
-    settled = marks.where("kind = 0").select("doc_id", "blob").unionByName(more.select("doc_id", "blob")).unionByName(_stretches(split, least))
+    split = scratch.save(_settle_windows(cut.where("kind = 2").select("grp", "bytes"), least))
+    settled = marks.where("kind = 0").select("doc_id", "blob").unionByName(more.select("doc_id", "blob")).unionByName(split)
     by_doc = settled.groupBy("doc_id").agg(F.collect_list("blob").alias("blobs"))
     return _apply(docs.join(by_doc, "doc_id", "left").select("doc_id", "text", "blobs"))
-
-
-def _stretches(split: DataFrame, least: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for doc, starts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                s = np.array(starts, np.int64)
-                out += _by_doc(np.full(len(s), doc), s, s + least)
-            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], pa.int64()), pa.array([b for _, b in out], pa.binary())], ["doc_id", "blob"])
-
-    return split.mapInArrow(run, "doc_id long, blob binary")

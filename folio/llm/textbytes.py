@@ -6,6 +6,7 @@ longest text and not the batch.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,29 +17,14 @@ SLICE_BYTES = 1 << 20
 U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240229))
 TABLE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
-BASE = 0x9E3779B97F4A7C15
-UNBASE = pow(BASE, -1, 1 << 64)
 #: [^\x20\x09-\x0D], byte by byte.
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and its inverse modulo 2**64, for i < n at least."""
-    if len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 4096)
-        made = []
-        for b in (BASE, UNBASE):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            made.append(np.multiply.accumulate(p))
-        if n > 8 * SLICE_BYTES:
-            return made[0], made[1]
-        _powers[:] = made
-    return _powers[0], _powers[1]
+#: Spans are mixed 8 bytes at a time up to this length; what is longer adds a digest of its rest.
+_MIXED_BYTES = 512
+_MASKS = np.array([(1 << (8 * i)) - 1 for i in range(8)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -82,19 +68,28 @@ def word_bounds(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.flatnonzero(w & ~after) + 1, np.searchsorted(starts, offsets)
 
 
-def prefix_hash(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Prefix sums of a polynomial hash, and what to multiply a difference by that starts at i."""
-    n = len(buf)
-    up, down = powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(TABLE[buf] * up[:n], out=sums[1:])
-    return sums, down
-
-
-def span_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans: equal for equal bytes."""
-    sums, down = prefix_hash(buf)
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * U(0xD6E8FEB86659FD93))
+def eights(buf: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each position on, as numbers; zeros follow the end."""
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    return np.ndarray((len(buf) + 1,), "<u8", padded, 0, (1,))
+
+
+def span_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of byte spans: equal for equal bytes. Each 8 bytes are mixed into what came before them, so no
+    sum or polynomial of the bytes decides, and texts made of repeated patterns don't collide."""
+    size, view = ends - starts, eights(buf)
+    out = mix(size.astype(np.uint64) + U((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % (1 << 64)))
+    live, done = np.flatnonzero(size > 0), 0
+    while len(live) and done < _MIXED_BYTES:
+        left, word = size[live] - done, view[starts[live] + done]
+        short = left < 8
+        word[short] &= _MASKS[left[short]]
+        out[live] = mix(out[live] ^ word)
+        live, done = live[left > 8], done + 8
+    for i in live.tolist():
+        rest = hashlib.blake2b(buf[starts[i] + done : ends[i]].tobytes(), digest_size=8).digest()
+        out[i : i + 1] = mix(out[i : i + 1] ^ np.frombuffer(rest, "<u8"))
+    return out
 
 
 def sequence_hash(hashes: np.ndarray, k: int) -> np.ndarray:
