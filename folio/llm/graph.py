@@ -1,9 +1,11 @@
-"""Connected components and links among members of buckets, with DataFrame operations only."""
+"""Connected components, with DataFrame operations only, and links among members of buckets."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,26 +38,96 @@ def _are_stars(e: DataFrame) -> bool:
     return ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty()
 
 
-def bucket_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame], scratch: Scratch, may_link: str) -> DataFrame:
-    """Edges that connect what verified links connect, from members (bucket long, id long, n long; computed anew from a saved table each time).
+#: A task compares two chunks of a bucket with each other, each of about so many members and bytes of their signatures.
+CHUNK_ROWS = 4096
+CHUNK_BYTES = 8 << 20
 
-    First each member is verified against the least member of its buckets. Then all pairs of a bucket that these
-    links left in different components are verified, so no link between components is lost, while a bucket of
-    copies costs one pair a member and not their square. may_link is SQL over n and other_n that every link fulfils.
+
+#: Members of smaller buckets are compared by a join.
+JOINED_ROWS = 32
+
+
+def bucket_links(members: DataFrame, traits: Callable[[DataFrame], DataFrame], verify: Callable[[DataFrame], DataFrame], scratch: Scratch, may_link: str, signed: Callable[[DataFrame], DataFrame], near: Callable[..., np.ndarray]) -> DataFrame:
+    """Edges that connect what verified links connect, from members (bucket long, id long; computed anew from a saved table each time).
+
+    First each member is verified against the least member of its buckets. In buckets that these links left in
+    different components, members are then compared with all those of other components: in buckets of up to
+    JOINED_ROWS by a join, whose rows grow with the members only, in others in chunks and without a row for each pair.
+    So no link between components is lost, while a bucket of copies costs one pair a member and not their square.
+    traits gives (id, n) of ids, and may_link is SQL over n and other_n that every link fulfils. signed gives (id, sig
+    binary) of ids, and near, of the signatures and one of them, which may link; what these let through is verified.
     """
-    hubs = scratch.save(members.groupBy("bucket").agg(F.count("*").alias("c"), F.min("id").alias("hub"), F.min_by("n", "id").alias("other_n")).where("c > 1").select("bucket", "hub", "other_n"))
-    held = scratch.save(members.join(F.broadcast(hubs) if hubs.count() <= BROADCAST_IDS else hubs, "bucket"))
+    ends = members.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
+    hubs = scratch.save(ends.where("hub <> last").select("bucket", "hub"))
+    release(scratch.spark)
+    held = scratch.save(members.join(F.broadcast(hubs) if hubs.count() <= BROADCAST_IDS else hubs, "bucket").distinct())
     release(scratch.spark)
     rows = held.count()
-    star = held.where("id <> hub").where(may_link).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    first = scratch.save(verify(scratch.save(star, rows)))
+    n_of = scratch.save(traits(scratch.save(held.select("id").distinct(), rows)), rows)
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        other = n_of.select(F.col("id").alias("b"), F.col("n").alias("other_n"))
+        return pairs.join(n_of.withColumnRenamed("id", "a"), "a").join(other, "b").where(may_link).select("a", "b")
+
+    star = held.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    first = scratch.save(verify(scratch.save(likely(star), rows)))
     found = components(first, scratch)
     release(scratch.spark)
-    named = scratch.save(held.join(found, "id", "left").select("bucket", "id", "n", "hub", F.coalesce("component", "id").alias("c")), rows)
-    mixed = scratch.save(named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket"), rows)
-    rest = scratch.save(named.join(mixed, "bucket", "left_semi"), rows)
-    other = rest.select("bucket", F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("c").alias("other_c"))
-    cross = rest.join(other, "bucket").where("id < other and c <> other_c and id <> hub and other <> hub").where(may_link).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
-    second = scratch.save(verify(scratch.save(cross)))
-    scratch.drop(held, named, mixed, rest)
+    named = scratch.save(held.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("c")), rows)
+    mixed = scratch.save(named.groupBy("bucket").agg(F.count("*").alias("members"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket", "members"), rows)
+    rest = scratch.save(named.join(F.broadcast(mixed) if mixed.count() <= BROADCAST_IDS else mixed, "bucket").join(n_of, "id"), rows)
+    scratch.drop(held, named, mixed)
+    few = rest.where(F.col("members") <= JOINED_ROWS)
+    other = few.select("bucket", F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("c").alias("other_c"))
+    joined = few.join(other, "bucket").where("id < other and c <> other_c").where(may_link).select(F.col("id").alias("a"), F.col("other").alias("b"))
+    many = rest.where(F.col("members") > JOINED_ROWS).select("bucket", "id", "c", "members")
+    second = scratch.save(verify(scratch.save(joined.unionByName(_across(many, signed, near, scratch)).distinct())))
+    scratch.drop(rest)
     return found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(second)
+
+
+def _across(rest: DataFrame, signed: Callable[[DataFrame], DataFrame], near: Callable[..., np.ndarray], scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of different components of a bucket that may link, from (bucket, id, c, members)."""
+    ids = scratch.save(rest.select("id").distinct())
+    sigs = scratch.save(signed(ids))
+    bytes_of = rest.join(sigs.select("id", F.length("sig").cast("long").alias("size")), "id").groupBy("bucket").agg(F.sum("size").alias("bytes"))
+    chunks = F.greatest(F.ceil(F.col("members") / CHUNK_ROWS), F.ceil(F.col("bytes") / CHUNK_BYTES), F.lit(1)).cast("int")
+    dealt = rest.join(bytes_of, "bucket").withColumn("chunks", chunks).withColumn("k", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    faced = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("bucket", F.least("k", "j").alias("lo"), F.greatest("k", "j").alias("hi"), "k", "id", "c")
+    placed = faced.join(sigs, "id").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi").select("bucket", "lo", "hi", "k", "id", "c", "sig")
+
+    def compared(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(parts).combine_chunks()
+        k, ids, c = (table.column(i).to_numpy() for i in (3, 4, 5))
+        names, sizes = np.unique(c, return_counts=True)
+        if len(names) < 2:
+            return
+        sig = table.column(6).to_pylist()
+        state = near(sig)
+        two_chunks = table.column(1)[0].as_py() != table.column(2)[0].as_py()
+        # Two members of the largest component need no comparison.
+        for x in np.flatnonzero(c != names[sizes.argmax()]).tolist():
+            ok = (c != c[x]) & near(sig, x, state)
+            if two_chunks:
+                ok &= k != k[x]
+            hits = ids[ok]
+            if len(hits):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(hits, ids[x])), pa.array(np.maximum(hits, ids[x]))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, parts = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(i).to_numpy() for i in range(3)], 1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if key != (now := tuple(keys[a].tolist())):
+                    if parts:
+                        yield from compared(parts)
+                    key, parts = now, []
+                parts.append(batch.slice(a, b - a))
+        if parts:
+            yield from compared(parts)
+
+    return placed.mapInArrow(run, "a long, b long")

@@ -125,6 +125,37 @@ def _verified(texts: DataFrame, words: int, percent: int) -> DataFrame:
     return texts.mapInArrow(run, "a long, b long")
 
 
+def _signed(texts: DataFrame, words: int) -> DataFrame:
+    """(id, sig): 32 bits of each shingle hash of (id, text), ascending."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sigs: list[bytes] = [b""] * batch.num_rows
+            for row, s in shingle_sets(batch.column(1), words):
+                sigs[row] = np.unique((s >> U(32)).astype(np.uint32)).tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigs, pa.binary())], ["id", "sig"])
+
+    return texts.mapInArrow(run, "id long, sig binary")
+
+
+def _near(percent: int):
+    """Which sets reach the threshold with set x. Of the few hashes that agree in 32 bits both sides lose one, so 1 % of slack covers them."""
+
+    def near(sigs: list[bytes], x: int | None = None, state: tuple | None = None):
+        if x is None:
+            sizes = np.array([len(s) // 4 for s in sigs])
+            values, codes = np.unique(np.frombuffer(b"".join(sigs), np.uint32), return_inverse=True)
+            return sizes, np.cumsum(sizes) - sizes, codes.ravel(), np.zeros(len(values), bool)
+        sizes, starts, codes, mark = state
+        own = codes[starts[x] : starts[x] + sizes[x]]
+        mark[own] = True
+        common = np.add.reduceat(mark[codes].astype(np.int64), starts)
+        mark[own] = False
+        return 100 * common >= (percent - 1) * (sizes + sizes[x] - common)
+
+    return near
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): documents linked at Jaccard >= percent/100 of their shingle sets.
 
@@ -138,7 +169,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     rows = scratch.save(sketches(docs, words))
     live = rows.where("doc_id is not null and set_hash is not null")
     reps = scratch.save(live.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")))
-    members = reps.select("rep", "n_shingles", F.posexplode("bands").alias("band", "key")).select(F.xxhash64("band", "key").alias("bucket"), F.col("rep").alias("id"), F.col("n_shingles").alias("n"))
+    members = reps.select("rep", "n_shingles", F.posexplode("bands").alias("band", "key")).select(F.xxhash64("band", "key").alias("bucket"), F.col("rep").alias("id"))
+
+    def traits(ids: DataFrame) -> DataFrame:
+        return only(reps.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n")), "id", ids)
 
     def verify(pairs: DataFrame) -> DataFrame:
         near = scratch.save(_estimated(pairs, reps, percent / 100 - SLACK))
@@ -149,7 +183,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         return _verified(texts, words, percent).distinct()
 
     release(docs.sparkSession)
-    links = bucket_links(members, verify, scratch, f"100 * least(n, other_n) >= {int(percent)} * greatest(n, other_n)")
+
+    def signed(ids: DataFrame) -> DataFrame:
+        texts = only(docs, "doc_id", ids.withColumnRenamed("id", "doc_id"))
+        # A doc_id with several texts has several signatures, each of which is compared.
+        return _signed(texts.select(F.col("doc_id").alias("id"), "text"), words)
+
+    links = bucket_links(members, traits, verify, scratch, f"100 * least(n, other_n) >= {int(percent)} * greatest(n, other_n)", signed, _near(percent))
     found = components(links, scratch)
     named = scratch.save(reps.select("set_hash", "n_shingles", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select("set_hash", "n_shingles", F.coalesce("component", "rep").alias("component_id")))
     joined = live.select("doc_id", "n_shingles", "set_hash").join(named, ["set_hash", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
