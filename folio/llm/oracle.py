@@ -38,10 +38,9 @@ WITH w AS (SELECT doc_id, text, coalesce('=' || source, 'null') AS host, md5(coa
 ), dup AS (SELECT doc_id, count(*) - count(DISTINCT raw) AS n FROM ln WHERE regexp_matches(raw, '[^\x20\x09-\x0D]') GROUP BY doc_id
 ), norm AS (SELECT doc_id, host, th, trim(translate(translate(raw, chr(9) || chr(11) || chr(12) || chr(13), '    '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS x FROM ln
 ), hashed AS (SELECT doc_id, host, th, md5(x) AS h, length(x) AS n FROM norm WHERE x <> ''
-), least2 AS (SELECT doc_id, list_sort(list(DISTINCT h))[1:2] AS l FROM hashed GROUP BY doc_id
 ), freq AS (
-  SELECT host, h FROM (SELECT DISTINCT host, h, coalesce(CASE WHEN h = l[1] THEN l[2] ELSE l[1] END, '') AS sig FROM hashed JOIN least2 USING (doc_id))
-  JOIN (SELECT host, count(DISTINCT th) AS a FROM w GROUP BY host) USING (host) GROUP BY host, h, a HAVING count(*) >= 10 AND count(*) * 100 >= a
+  SELECT host, h FROM hashed JOIN (SELECT host, count(DISTINCT th) AS a FROM w GROUP BY host) USING (host)
+  GROUP BY host, h, a HAVING count(DISTINCT th) >= 10 AND count(DISTINCT th) * 100 >= a
 ), chars AS (SELECT doc_id, sum(n)::BIGINT AS line_chars, coalesce(sum(n) FILTER (WHERE f.h IS NOT NULL), 0)::BIGINT AS frequent_chars FROM hashed x LEFT JOIN freq f ON f.host = x.host AND f.h = x.h GROUP BY doc_id
 ), m AS (
   SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,

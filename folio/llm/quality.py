@@ -9,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.textbytes import IS_WORD, TABLE, mix, prefix_hash, sequence_hash, slices, span_hash, word_bounds
+from folio.llm.scratch import BROADCAST_IDS, Scratch
+from folio.llm.tables import fresh
+from folio.llm.textbytes import IS_WORD, LOWER, TABLE, mix, sequence_hash, slices, span_hash, word_bounds
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -47,8 +49,9 @@ def _repeated(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _measure(buf: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """_COUNTS of each text of a slice."""
+def _measure(buf: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], tuple[np.ndarray, ...]]:
+    """_COUNTS of each text of a slice; and of its lines with a word: text, number in the text, hash and length of the
+    normal form, which is the line from its first word to its last, A-Z in lower case."""
     texts = len(offsets) - 1
     starts, ends, at = word_bounds(buf, offsets)
     chars = _per_text(IS_WORD[buf] & ((buf & 0xC0) != 0x80), offsets)
@@ -57,11 +60,20 @@ def _measure(buf: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     # Lines: cut at \n and at the ends of texts; a line counts if a word starts in it.
     breaks = np.flatnonzero(buf == 10)
     line_from = np.concatenate([offsets[:-1], breaks + 1])
-    line_to = np.concatenate([breaks, offsets[1:]])
-    line_from.sort(), line_to.sort()
-    has_word = np.searchsorted(starts, line_to) > np.searchsorted(starts, line_from)
-    line_from, line_to = line_from[has_word], line_to[has_word]
-    line_text = np.searchsorted(offsets, line_from, "right") - 1
+    line_text = np.concatenate([np.arange(texts), np.searchsorted(offsets, breaks, "right") - 1])
+    order = np.lexsort((line_text, line_from))
+    line_text, line_from = line_text[order], line_from[order]
+    line_to = np.concatenate([line_from[1:] - 1, offsets[-1:]])
+    last = np.append(line_text[1:] != line_text[:-1], True)
+    line_to[last] = offsets[1:]
+    line_no = np.arange(len(line_from)) - np.searchsorted(line_text, line_text)
+    first_word, past_word = np.searchsorted(starts, line_from), np.searchsorted(starts, line_to)
+    has_word = past_word > first_word
+    line_from, line_to, line_text, line_no = line_from[has_word], line_to[has_word], line_text[has_word], line_no[has_word]
+    inner_from, inner_to = starts[first_word[has_word]], ends[past_word[has_word] - 1]
+    points = np.zeros(len(buf) + 1, np.int64)
+    np.cumsum((buf & 0xC0) != 0x80, out=points[1:])
+    normal = span_hash(LOWER[buf], inner_from, inner_to)
     lines = mix(span_hash(buf, line_from, line_to) + line_text.astype(np.uint64) * TABLE[0])
     dup_lines = np.bincount(line_text[_seen_before(lines)], minlength=texts)
     # Windows of WINDOW words that stay within a text.
@@ -78,84 +90,88 @@ def _measure(buf: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         cover[hits] += 1
         cover[hits + WINDOW] -= 1
         repeat = np.bincount(word_text[np.cumsum(cover[:-1]) > 0], minlength=texts)
-    return [words, chars, symbols, dup_lines, repeat]
+    return [words, chars, symbols, dup_lines, repeat], (line_text, line_no, normal, points[inner_to] - points[inner_from])
 
 
-def measured(docs: DataFrame, *keys: str) -> DataFrame:
-    """doc_id, text columns keys and _COUNTS of each row; null text is empty."""
+_MEASURED = ", ".join(["doc_id long", "text_hash long", "host string", *(f"{c} long" for c in _COUNTS), "positions array<int>", "hashes array<long>", "lengths array<int>"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = np.zeros((len(_COUNTS), batch.num_rows), np.int64)
-            for a, b, buf, offsets in slices(batch.column(batch.num_columns - 1)):
-                out[:, a:b] = _measure(buf, offsets)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *map(pa.array, out)], ["doc_id", *keys, *_COUNTS])
 
-    return docs.select("doc_id", *keys, "text").mapInArrow(run, ", ".join(["doc_id long", *(f"{k} string" for k in keys), *(f"{c} long" for c in _COUNTS)]))
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, host, _COUNTS, and three arrays of a row's lines with a word: number, hash, length."""
+
+    def lists(values: np.ndarray, at: np.ndarray, kind: type) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values.astype(kind)))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, buf, offsets in slices(batch.column(3)):
+                counts, (text, number, h, n) = _measure(buf, offsets)
+                at = np.searchsorted(text, np.arange(b - a + 1))
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns[:3]), *map(pa.array, counts), lists(number, at, np.int32), lists(h.view(np.int64), at, np.int64), lists(n, at, np.int32)], [c.rpartition(" ")[0] for c in _MEASURED.split(", ")])
 
-def normal_line(line: Column) -> Column:
-    """Spaces, tabs and the like at the ends dropped, A-Z in lower case."""
-    return F.trim(F.translate(F.translate(line, "\t\x0b\x0c\r", "    "), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return docs.select("doc_id", "text_hash", "host", "text").mapInArrow(run, _MEASURED)
 
 
 def _host(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source), F.lit("null"))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """A row for each line with a word: the key of its row of docs, host, line hash, length, signature."""
-    lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), normal_line), lambda x: x != "")
-    arr = docs.select("doc_id", "text_hash", "host", F.transform(lines, lambda x: F.struct(F.md5(x.cast("binary")).alias("h"), F.length(x).alias("n"))).alias("lines"))
-    least = F.slice(F.array_sort(F.array_distinct("lines.h")), 1, 2)
-    one = arr.select("doc_id", "text_hash", "host", least.alias("least"), F.posexplode("lines").alias("pos", "line"))
-    other = F.when(F.col("line.h") == F.get("least", F.lit(0)), F.get("least", F.lit(1))).otherwise(F.get("least", F.lit(0)))
-    return one.select("doc_id", "text_hash", "host", "pos", F.col("line.h").alias("h"), F.col("line.n").alias("n"), F.coalesce(other, F.lit("")).alias("signature"))
-
+def frequent_lines(rows: DataFrame) -> DataFrame:
+    """(host, h, documents): lines of measured rows that stand in at least LINE_DOCUMENTS distinct documents of a host
+    and in at least LINE_PERCENT of its distinct documents.
 
-def frequent_lines(docs: DataFrame) -> DataFrame:
-    """(host, h, documents): normalised lines above both limits, as md5.
-
-    Documents of a host are told apart by a signature, the least line hash besides the line's own, so that exact and
-    most near copies of one document count once and a copied page isn't taken for boilerplate.
+    Documents are distinct by text: equal texts of a host count once, so a copied page isn't taken for boilerplate.
     """
-    lines = _lines(docs)
-    counted = lines.select("host", "h", "signature").distinct().groupBy("host", "h").agg(F.count("*").alias("documents")).where(F.col("documents") >= LINE_DOCUMENTS)
-    hosts = docs.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("all_documents"))
+    distinct = rows.select("host", "text_hash", F.array_distinct("hashes").alias("hs")).dropDuplicates(["host", "text_hash"])
+    hosts = rows.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("all_documents"))
+    counted = distinct.select("host", F.explode("hs").alias("h")).groupBy("host", "h").agg(F.count("*").alias("documents")).where(F.col("documents") >= LINE_DOCUMENTS)
     return counted.join(hosts, "host").where(F.col("documents") * 100 >= F.col("all_documents") * LINE_PERCENT).select("host", "h", "documents")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text.alias("text"), F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("text_hash"), _host(F.col("source").cast("string")).alias("host"))
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def quality(docs: DataFrame) -> DataFrame:
     """One row for each row of docs: doc_id, _COUNTS, base_failed, frequent_chars, line_chars, kept, text_hash,
-    host, frequent_lines (md5 of its frequent lines, as normalised).
+    host, frequent_lines (numbers, from 0, of its frequent lines).
 
     base_failed: under MIN_WORDS words, or more than MAX_REPEAT_PERCENT of the words in repeated windows. kept: not
     base_failed, and at least MIN_LEFT_PERCENT of the characters of its normalised lines are in lines that are not
     frequent in its host. Null text is empty and fails; null source is a host of its own; rows that are equal get equal
-    results; an empty table gives none; other columns are not read.
+    results; an empty table gives none; other columns are not read. Lines are told apart by 64-bit hashes in a host.
     """
-    docs = _keyed(docs)
-    frequent = frequent_lines(docs).withColumn("frequent", F.lit(True)).drop("documents")
-    left = _lines(docs).select("doc_id", "text_hash", "host", "pos", "h", "n").join(frequent, ["host", "h"], "left")
-    summed = left.groupBy("doc_id", "text_hash", "host").agg(F.sum(F.when(F.col("frequent"), F.col("n")).otherwise(0)).alias("frequent_chars"), F.sum("n").alias("line_chars"), F.count_if(F.col("pos") == 0).alias("rows"), F.sort_array(F.collect_set(F.when(F.col("frequent"), F.col("h")))).alias("frequent_lines"))
-    summed = summed.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("th"), F.col("host").alias("ho"), (F.col("frequent_chars") / F.col("rows")).cast("long").alias("frequent_chars"), (F.col("line_chars") / F.col("rows")).cast("long").alias("line_chars"), "frequent_lines")
-    m = measured(docs, "text_hash", "host")
-    out = m.join(summed, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("th")) & (F.col("host") == F.col("ho")), "left")
+    scratch = Scratch(docs.sparkSession, "quality")
+    text = F.col("text").cast("string")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(text).alias("text_hash"), _host(F.col("source").cast("string")).alias("host"), text.alias("text"))
+    rows = scratch.save(measured(keyed))
+    frequent = scratch.save(frequent_lines(rows).select("host", "h"))
+    each = rows.select("doc_id", "text_hash", "host", F.explode(F.arrays_zip("positions", "hashes", "lengths")).alias("line")).select("doc_id", "text_hash", "host", F.col("line.positions").alias("pos"), F.col("line.hashes").alias("h"), F.col("line.lengths").alias("n"))
+    hit = each.join(F.broadcast(frequent) if frequent.count() <= BROADCAST_IDS else frequent, ["host", "h"], "left_semi")
+    # Rows that are equal have the same lines: of each line number one is counted.
+    summed = hit.groupBy("doc_id", "text_hash", "host").agg(F.collect_set(F.struct("pos", "n")).alias("ln"))
+    summed = scratch.save(summed.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("th"), F.col("host").alias("ho"), F.aggregate("ln", F.lit(0).cast("long"), lambda s, x: s + x["n"]).alias("frequent_chars"), F.sort_array("ln.pos").alias("frequent_lines")))
+    small = F.broadcast(summed) if summed.agg(F.coalesce(F.sum(F.size("frequent_lines") + 8), F.lit(0))).first()[0] <= BROADCAST_IDS else summed
+    out = rows.join(small, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("th")) & (F.col("host") == F.col("ho")), "left")
+    out = out.withColumn("line_chars", F.aggregate("lengths", F.lit(0).cast("long"), lambda s, x: s + x)).withColumn("frequent_chars", F.coalesce("frequent_chars", F.lit(0).cast("long")))
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    enough = 100 * (F.coalesce("line_chars", F.lit(0)) - F.coalesce("frequent_chars", F.lit(0))) >= MIN_LEFT_PERCENT * F.coalesce("line_chars", F.lit(0))
-    return out.select("doc_id", *_COUNTS, base.alias("base_failed"), F.coalesce("frequent_chars", F.lit(0)).alias("frequent_chars"), F.coalesce("line_chars", F.lit(0)).alias("line_chars"), (~base & enough).alias("kept"), "text_hash", "host", F.coalesce("frequent_lines", F.array().cast("array<string>")).alias("frequent_lines"))
+    enough = 100 * (F.col("line_chars") - F.col("frequent_chars")) >= MIN_LEFT_PERCENT * F.col("line_chars")
+    return out.select("doc_id", *_COUNTS, base.alias("base_failed"), "frequent_chars", "line_chars", (~base & enough).alias("kept"), "text_hash", "host", F.coalesce("frequent_lines", F.array().cast("array<int>")).alias("frequent_lines"))
+
+
+def without_lines(text: Column, numbers: Column) -> Column:
+    """The text without its lines of those numbers (ascending, from 0)."""
+    lines = F.split(text, "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), numbers)
+    return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, that quality() keeps, text without the lines that are frequent in its host."""
-    verdicts = quality(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th"), F.col("host").alias("_ho"), F.col("frequent_lines").alias("_fl")).distinct()
+    """The rows of docs, with all their columns, that quality() keeps, text without the lines that are frequent in its
+    host. Columns may have any names; null texts and empty ones are not kept, rows that are equal are all kept or none."""
+    i, t, h, lines = (fresh(docs, n) for n in ("id", "text", "host", "lines"))
+    verdicts = quality(docs).where("kept").select(F.col("doc_id").alias(i), F.col("text_hash").alias(t), F.col("host").alias(h), F.col("frequent_lines").alias(lines)).distinct()
     text = docs["text"].cast("string")
-    th, ho = F.md5(F.coalesce(text, F.lit("")).cast("binary")), _host(docs["source"].cast("string"))
-    kept = docs.join(verdicts, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (th == F.col("_th")) & (ho == F.col("_ho")))
-    left = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("_fl", F.md5(normal_line(x).cast("binary")))), "\n")
-    return kept.withColumn("text", F.when(F.size("_fl") == 0, text).otherwise(left)).select(*docs.columns)
+    kept = docs.join(verdicts, docs["doc_id"].cast("long").eqNullSafe(F.col(i)) & (_text_hash(text) == F.col(t)) & (_host(docs["source"].cast("string")) == F.col(h)))
+    left = F.when(F.size(F.col(lines)) == 0, text).otherwise(without_lines(text, F.col(lines)))
+    return kept.select(*(left.alias(c) if c.lower() == "text" else docs[c] for c in docs.columns))
