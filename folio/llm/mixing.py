@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm.scratch import Scratch
+from folio.llm.tables import fresh
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_TIMES = 3
@@ -117,8 +118,21 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
 
 
 def mixture(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
-    """The rows of docs that the mix takes, as often as it takes them, with all their columns."""
-    picked = mixed(docs, weights).where("copies > 0").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th"), F.col("source").alias("_so")).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_n"))
-    # Equal rows that the rounding told apart share their copies evenly, which keeps the sum within a copy of each row.
-    on = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("_th")) & docs["source"].cast("string").eqNullSafe(F.col("_so"))
-    return docs.join(picked, on).withColumn("_again", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_copies") / F.col("_n")).cast("int")))).select(*docs.columns)
+    """The rows of docs that the mix takes, as often as mixed() takes them, with all their columns.
+
+    Rows equal in doc_id, text and source share the copies that mixed() decides for them: the first of them, in no
+    order, take one more where the sum doesn't divide evenly, so the rows of the result are the sum of copies. Rows of
+    size 0 (null or empty texts) are taken as often as their source's rate says. Columns may have any names.
+    """
+    i, t, s, copies, rows, nth = (fresh(docs, n) for n in ("id", "text", "source", "copies", "rows", "nth"))
+    decided = mixed(docs, weights).groupBy(F.col("doc_id").alias(i), F.col("text_hash").alias(t), F.col("source").alias(s)).agg(F.sum("copies").alias(copies), F.count("*").alias(rows))
+    picked = Scratch(docs.sparkSession, "mixture").save(decided.where(F.col(copies) > 0))
+    key = (docs["doc_id"].cast("long"), F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))), docs["source"].cast("string"))
+    joined = docs.join(picked, key[0].eqNullSafe(F.col(i)) & (key[1] == F.col(t)) & key[2].eqNullSafe(F.col(s)))
+    again = lambda n: F.explode(F.sequence(F.lit(1), n))
+    one = joined.where(F.col(rows) == 1).select(*docs.columns, again(F.col(copies).cast("int")).alias(nth))
+    # Only rows that repeat are numbered.
+    several = joined.where(F.col(rows) > 1).withColumn(nth, F.row_number().over(Window.partitionBy(i, t, s).orderBy(F.lit(1))))
+    share = (F.floor(F.col(copies) / F.col(rows)) + F.when(F.col(nth) <= F.col(copies) % F.col(rows), 1).otherwise(0)).cast("int")
+    several = several.where(share > 0).select(*docs.columns, again(share).alias(nth))
+    return one.unionByName(several).select(*docs.columns)
