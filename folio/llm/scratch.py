@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import shutil
 import tempfile
 import uuid
@@ -31,6 +30,8 @@ BROADCAST_IDS = 500_000
 BROADCAST_NUMBERS = 2_000_000
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Short rows of one file, and files that a table may have however short it is.
 ROWS_OF_FILE = 100_000
 LEAST_FILES = 8
@@ -41,12 +42,6 @@ def only(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, "left_semi")
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished jobs."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 class Scratch:
     """Cuts lineage: a saved table is read back from the shared folder, so a lost executor costs no more than its own tasks."""
 
@@ -61,7 +56,13 @@ class Scratch:
             df = df.coalesce(max(LEAST_FILES, rows // ROWS_OF_FILE))
         path = f"{self.root}/{self.made}"
         self.made += 1
-        df.write.parquet(path)
+        # The shuffle files of the job go with it, as the table is read back from its path.
+        kept = self.spark.conf.get(_CLEANUP)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, kept)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._folio_path = path
         return out
