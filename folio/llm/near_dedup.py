@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.graph import bucket_links, components
-from folio.llm.scratch import Scratch, only, release
+from folio.llm.scratch import Scratch, only
 from folio.llm.textbytes import LOWER, U, mix, sequence_hash, slices, span_hash, word_bounds
 
 REGISTERS = 128
@@ -182,7 +182,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         texts = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
         return _verified(texts, words, percent).distinct()
 
-    release(docs.sparkSession)
 
     def signed(ids: DataFrame) -> DataFrame:
         texts = only(docs, "doc_id", ids.withColumnRenamed("id", "doc_id"))
