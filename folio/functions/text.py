@@ -11,46 +11,55 @@ def collapse(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"(?U)\s+", " "), "^ | $", "")
 
 
+def fold(text: Column) -> Column:
+    """A key that takes upper and lower case for the same. Of full case folding, it has lower case, ss for ß and one
+    form of sigma; other foldings of one letter to several are not made."""
+    return F.replace(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
+
+
 def ends_sentence(text: Column) -> Column:
     """Whether the last character besides closing quotes and brackets ends a sentence."""
-    return text.rlike(r"""[.!?…][\s"'”’)\]}]*$""")
+    return text.rlike(r"""(?U)[.!?…][\s"'”’)\]}]*\z""")
 
 
 def starts_lower(text: Column) -> Column:
     """Whether the first letter is in lower case."""
-    return text.rlike(r"^[^\p{L}]*\p{Ll}")
+    return text.rlike(r"^[^\p{L}]*[\p{L}&&\p{IsLowercase}]")
+
+
+def footnote_text(text: Column) -> Column:
+    """A marker without the brackets around it and the points behind it."""
+    strip = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    bare = F.regexp_replace(strip(text), r"^[()\[\]{}]+|[()\[\]{}]+\z", "")
+    return strip(F.regexp_replace(bare, r"\.+\z", ""))
 
 
 def footnote_label(text: Column) -> Column:
-    """The label in a superscript: up to three digits, a letter, or marks; null for anything else."""
-    bare = F.regexp_replace(F.regexp_replace(text, r"^[\s(\[]+", ""), r"[\s)\].]+$", "")
-    return F.when(bare.rlike(r"^([0-9]{1,3}|[A-Za-z]|[*†‡]+)$"), bare)
+    """The label in a superscript: up to three digits, a letter, or marks. Null for anything else."""
+    label = footnote_text(text)
+    return F.when(label.rlike(r"^(\p{Nd}{1,3}|[A-Za-z]|[*†‡]+)\z"), label)
 
 
 def without_page_number(text: Column, number: Column) -> Column:
-    """A header or footer without the page number at either end."""
-    s = number.cast("string")
-    front = F.when(text.startswith(F.concat(s, F.lit(" "))), F.substring(text, F.length(s) + 2, F.length(text))).when(text == s, F.lit("")).otherwise(text)
-    return F.when(front.endswith(F.concat(F.lit(" "), s)), F.substring(front, F.lit(1), F.length(front) - F.length(s) - 1)).when(front == s, F.lit("")).otherwise(front)
+    """A header or footer, its white space collapsed, without the printed page number at either end."""
+    n = F.regexp_replace(number.cast("string"), r"(?U)^\s+|\s+\z", "")
+    quoted = F.concat(F.lit("\\Q"), F.replace(n, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    front = collapse(F.regexp_replace(text, F.concat(F.lit("(?U)^"), quoted, F.lit("(\\s+|\\z)")), F.lit("")))
+    both = collapse(F.regexp_replace(front, F.concat(F.lit("(?U)(\\s+|^)"), quoted, F.lit("\\z")), F.lit("")))
+    return F.when(F.coalesce(n, F.lit("")) == "", text).otherwise(both)
 
 
 def escape_markup(text: Column) -> Column:
     out = text
-    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
         out = F.replace(out, F.lit(a), F.lit(b))
     return out
 
 
 def without_markup_stars(text: Column) -> Column:
     """One balanced pair of ** __ * or _ around the whole taken off, at most twice."""
-    out = text
-    for _ in range(2):
-        step = out
-        for m in ("_", "*", "__", "**"):
-            fits = out.startswith(m) & out.endswith(m) & (F.length(out) > 2 * len(m))
-            step = F.when(fits, F.substring(out, F.lit(len(m) + 1), F.length(out) - 2 * len(m))).otherwise(step)
-        out = step
-    return out
+    once = lambda t: F.regexp_replace(t, r"(?s)^(\*\*|__|\*|_)(.+)\1\z", "$2")
+    return once(once(text))
 
 
 def padded(number: Column, width: int = 4) -> Column:
@@ -65,3 +74,17 @@ def block_id(page_id: Column, index: Column) -> Column:
 
 def span_id(block: Column, index: Column) -> Column:
     return F.concat(block, F.lit(":span:"), padded(index + 1))
+
+
+def node_id(block: Column, kind: str) -> Column:
+    """The id of the node that starts with a block."""
+    return F.concat(block, F.lit(f":node:{kind}"))
+
+
+def verse_line_id(block: Column, number: Column) -> Column:
+    """1-based."""
+    return F.concat(block, F.lit(":node:verse-line:"), padded(number))
+
+
+def relationship_id(source: Column, kind: Column, target: Column) -> Column:
+    return F.concat(source, F.lit(":relationship:"), F.replace(kind, F.lit("_"), F.lit("-")), F.lit(":"), target)

@@ -2,38 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from difflib import SequenceMatcher
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Confidence that a finding needs, by what it is.
 THRESHOLDS = {"base": 85.0, "heading": 92.0, "punctuation": 95.0, "short": 97.0}
 BRIDGE = 12
+# Fixed sets of characters.
+CLOSES = r"^[.,;:!?%)\]}»”’]"
+OPENS = r"[(\[{«“‘]\z"
+PUNCTUATION = r"""^[!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~“”‘’«»…–— ]*\z"""
 
 
 def word_offsets(words: DataFrame, by: list[str], order: str) -> DataFrame:
-    """start and end of words in their joined text: no space before closing or after opening punctuation."""
+    """start and end of words in their joined text: no space before a word that starts with closing punctuation or behind
+    one that ends with opening punctuation."""
     w = Window.partitionBy(*by).orderBy(order)
     prev = F.lag("word").over(w)
-    gap = F.when(prev.isNull() | F.col("word").rlike(r"^[,.;:!?)\]}]+$") | prev.rlike(r"^[(\[{]+$"), 0).otherwise(1)
+    gap = F.when(prev.isNull() | (prev == "") | F.col("word").rlike(CLOSES) | prev.rlike(OPENS), 0).otherwise(1)
     rows = words.withColumn("_g", gap)
     stop = F.sum(F.col("_g") + F.length("word")).over(w.rowsBetween(Window.unboundedPreceding, 0))
     return rows.withColumn("end", stop.cast("int")).withColumn("start", F.col("end") - F.length("word")).drop("_g")
 
 
 def supported(findings: DataFrame, words: DataFrame) -> DataFrame:
-    """confidence of findings (page_id, start, end): least of the words that overlap; else of the nearest within 2 characters."""
+    """confidence of findings (page_id, start, end): least of the words that overlap; else of the nearest within 2 characters.
+
+    The join keeps only words in reach, so a page's rows are not all paired with each other.
+    """
     f = findings.withColumn("_e", F.greatest("end", F.col("start") + 1))
-    w = words.select(F.col("page_id"), F.col("start").alias("ws"), F.col("end").alias("we"), F.col("confidence").alias("wc"))
-    pairs = f.join(w, "page_id")
+    w = words.select(F.col("page_id").alias("_p"), F.col("start").alias("ws"), F.col("end").alias("we"), F.col("confidence").alias("wc"))
+    pairs = f.join(w, (f["page_id"] == F.col("_p")) & (F.col("we") >= f["start"] - 2) & (F.col("ws") <= F.col("_e") + 2), "left")
     over = (F.col("we") > F.col("start")) & (F.col("ws") < F.col("_e"))
     near = pairs.groupBy("page_id", "finding_id").agg(
         F.min(F.when(over, F.col("wc"))).alias("c"),
-        F.max_by("wc", F.when((F.col("we") <= F.col("start")) & (F.col("start") - F.col("we") <= 2), F.col("we"))).alias("before"),
-        F.min_by("wc", F.when((F.col("ws") >= F.col("_e")) & (F.col("ws") - F.col("_e") <= 2), F.col("ws"))).alias("after"),
+        F.max_by("wc", F.when(F.col("we") <= F.col("start"), F.col("we"))).alias("before"),
+        F.min_by("wc", F.when(F.col("ws") >= F.col("_e"), F.col("ws"))).alias("after"),
     )
     return findings.join(near.select("page_id", "finding_id", F.coalesce("c", F.least("before", "after")).alias("confidence")), ["page_id", "finding_id"], "left")
 
@@ -46,10 +50,11 @@ def covered(findings: DataFrame, others: DataFrame) -> DataFrame:
 
 
 def difference_kind(mine: Column, other: Column) -> Column:
-    bare = lambda c: F.regexp_replace(c, r"\s+", "")
-    punct = lambda c: c.rlike(r"^[\p{P}\p{S}\s]*$")
+    """What sets two different texts apart; texts of nothing but spaces are no punctuation."""
+    bare = lambda c: F.regexp_replace(c, r"(?U)\s+", "")
+    punct = lambda c: c.rlike(PUNCTUATION) & (F.replace(c, F.lit(" "), F.lit("")) != "")
     short = (F.length(mine) <= 2) & (F.length(other) <= 2)
-    return F.when(bare(mine) == bare(other), "whitespace").when(mine == "", "missing_text").when(other == "", "extra_text").when(punct(mine) & punct(other), "punctuation").when(short, "character").otherwise("replacement")
+    return F.when((mine != other) & (bare(mine) == bare(other)), "whitespace").when(mine == "", "missing_text").when(other == "", "extra_text").when(punct(mine) & punct(other), "punctuation").when(short, "character").otherwise("replacement")
 
 
 def severity(kind: Column, mine: Column, other: Column) -> Column:
@@ -74,27 +79,3 @@ def with_corrections(text: Column, edits: Column) -> Column:
     """Edits (start, end, replacement; 0-based, half-open, apart) put into a text, from the right."""
     put = lambda t, e: F.concat(F.substring(t, F.lit(1), e["start"]), e["replacement"], F.substring(t, e["end"] + 1, F.length(t)))
     return F.aggregate(F.reverse(F.array_sort(edits)), text, put)
-
-
-def compared(pairs: DataFrame) -> DataFrame:
-    """(id, ratio, groups) of (id, mine, other): difflib's ratio and changed ranges, joined over short plain bridges."""
-
-    def one(mine: str, other: str) -> tuple[float, list[tuple[int, int, int, int]]]:
-        m = SequenceMatcher(None, mine, other, autojunk=False)
-        out: list[list[int]] = []
-        for tag, a, b, c, d in m.get_opcodes():
-            if tag == "equal":
-                continue
-            bridge = mine[out[-1][1] : a] if out else None
-            if bridge is not None and len(bridge) <= BRIDGE and not set(bridge) & set(".!?;\n"):
-                out[-1][1], out[-1][3] = b, d
-            else:
-                out.append([a, b, c, d])
-        return m.ratio(), [tuple(g) for g in out]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            got = [one(a or "", b or "") for a, b in zip(f["mine"], f["other"], strict=True)]
-            yield pd.DataFrame({"id": f["id"], "ratio": [r for r, _ in got], "groups": [[dict(zip(("start", "end", "other_start", "other_end"), g, strict=True)) for g in gs] for _, gs in got]})
-
-    return pairs.select("id", "mine", "other").mapInPandas(run, "id string, ratio double, groups array<struct<start:int,end:int,other_start:int,other_end:int>>")

@@ -18,12 +18,6 @@ def islands(df: DataFrame, by: list[str], order: list[str], breaks: Column, name
     return df.withColumn("_b", F.when(F.row_number().over(w) == 1, 1).otherwise(F.coalesce(breaks, F.lit(True)).cast("int"))).withColumn(name, F.sum("_b").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_b")
 
 
-def repeated_furniture(furniture: DataFrame) -> DataFrame:
-    """Adds repeated to (book, page, role, key): whether the key stands on two pages of the book, never for empty keys."""
-    counts = furniture.where("key <> ''").groupBy("book", "role", "key").agg((F.count_distinct("page") >= 2).alias("_r"))
-    return furniture.join(counts, ["book", "role", "key"], "left").withColumn("repeated", F.coalesce("_r", F.lit(False))).drop("_r")
-
-
 def list_runs(items: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     """Runs of items (kind, page, ordinal): broken by another kind, a page that doesn't follow, or an ordinal that doesn't."""
     w = Window.partitionBy(*by).orderBy(*order)
@@ -77,11 +71,6 @@ def continuations(pages: DataFrame, same_type: Column | None = None) -> DataFram
     return out.where(F.col("confidence") >= LEAST_SCORE).select("book", "page", F.col("left.block_id").alias("source_id"), F.col("next.block_id").alias("target_id"), "confidence")
 
 
-def chains(nodes: DataFrame, by: list[str], order: list[str], linked: Column) -> DataFrame:
-    """chain_id: a node that linked says continues the one before is in its chain."""
-    return islands(nodes, by, order, ~linked, "chain_id")
-
-
 def joined_text(parts: DataFrame, by: list[str], order: str) -> DataFrame:
     """Texts of a chain joined by a space, unless white space, a hyphen or closing punctuation makes it needless."""
     w = Window.partitionBy(*by).orderBy(order)

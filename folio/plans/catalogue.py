@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.functions import text as T
+from folio.operators import analyzer as A
 from folio.operators import contract as C
+from folio.operators import findings as D
 from folio.operators import review as V
 from folio.operators import runtime as R
 from folio.operators import windows as W
@@ -57,22 +59,29 @@ def q02_block_ids(spark, d):
     return blocks(spark, d).select("page", "seq", T.block_id(F.concat(F.lit("p"), F.col("page").cast("string")), F.col("seq")).alias("block_id"), F.length("text").cast("long").alias("n_chars"))
 
 
-@query(f"""WITH {_BLOCKS}, f AS (SELECT book, page, role, lower(trim(text)) AS key FROM blk WHERE role <> 'paragraph'),
-r AS (SELECT book, role, key FROM f WHERE key <> '' GROUP BY ALL HAVING count(DISTINCT page) >= 2)
-SELECT f.book, f.page, f.role, r.key IS NOT NULL AS repeated FROM f LEFT JOIN r ON r.book = f.book AND r.role = f.role AND r.key = f.key""")
+_SQUEEZE = "trim(regexp_replace({0}, '[\\s\\v]+', ' ', 'g'))"
+_FURNITURE = _BLOCKS + f""", f0 AS (SELECT book, page, role, {_SQUEEZE.format('text')} AS t, CASE page % 3 WHEN 0 THEN number::VARCHAR WHEN 1 THEN split_part({_SQUEEZE.format('text')}, ' ', 1) END AS printed FROM blk WHERE role <> 'paragraph'),
+f1 AS (SELECT *, CASE WHEN coalesce(printed, '') = '' THEN t WHEN t = printed THEN '' WHEN starts_with(t, printed || ' ') THEN substr(t, length(printed) + 2) ELSE t END AS u FROM f0),
+f2 AS (SELECT *, CASE WHEN coalesce(printed, '') = '' THEN u WHEN u = printed THEN '' WHEN ends_with(u, ' ' || printed) THEN substr(u, 1, length(u) - length(printed) - 1) ELSE u END AS norm FROM f1)"""
+
+
+def _furniture(spark, d):
+    """Headers and footers; every third page's printed number is the first word of the line, of others its number or none."""
+    t = T.collapse(F.col("text"))
+    printed = F.when(F.col("page") % 3 == 0, F.col("number").cast("string")).when(F.col("page") % 3 == 1, F.get(F.split(t, " "), F.lit(0)))
+    return blocks(spark, d).where("role <> 'paragraph'").withColumn("printed", printed)
+
+
+@query(f"""WITH {_FURNITURE}, r AS (SELECT book, role, replace(replace(lower(norm), 'ß', 'ss'), 'ς', 'σ') AS key FROM f2 WHERE norm <> '' GROUP BY ALL HAVING count(DISTINCT page) >= 2)
+SELECT f2.book, f2.page, f2.role, r.key IS NOT NULL AS repeated FROM f2 LEFT JOIN r ON r.book = f2.book AND r.role = f2.role AND r.key = replace(replace(lower(norm), 'ß', 'ss'), 'ς', 'σ')""")
 def q03_furniture_repeat(spark, d):
-    f = blocks(spark, d).where("role <> 'paragraph'").select("book", "page", "role", F.lower(F.trim("text")).alias("key"))
-    return W.repeated_furniture(f).select("book", "page", "role", "repeated")
+    f = _furniture(spark, d).select(F.col("book").alias("book_id"), F.lit(0).alias("page_index"), "seq", F.col("page").alias("page_id"), F.lit("").alias("block_id"), "role", "text", "printed")
+    return A.furniture(f).select(F.col("book_id").alias("book"), F.col("page_id").alias("page"), "role", "repeated")
 
 
-@query(f"""WITH {_BLOCKS}, f AS (SELECT page, number, CASE page % 3 WHEN 0 THEN number || ' ' || trim(text) WHEN 1 THEN trim(text) || ' ' || number ELSE trim(text) END AS t FROM blk WHERE role = 'page_footer'),
-g AS (SELECT page, number, t, CASE WHEN starts_with(t, number || ' ') THEN substr(t, length(number || ' ') + 1) WHEN t = number::VARCHAR THEN '' ELSE t END AS u FROM f)
-SELECT page, CASE WHEN ends_with(u, ' ' || number) THEN substr(u, 1, length(u) - length(' ' || number)) WHEN u = number::VARCHAR THEN '' ELSE u END AS stripped FROM g""")
+@query(f"WITH {_FURNITURE} SELECT page, role, norm AS stripped FROM f2")
 def q04_strip_page_number(spark, d):
-    t, n = F.trim("text"), F.col("number").cast("string")
-    f = blocks(spark, d).where("role = 'page_footer'")
-    made = F.when(F.col("page") % 3 == 0, F.concat(n, F.lit(" "), t)).when(F.col("page") % 3 == 1, F.concat(t, F.lit(" "), n)).otherwise(t)
-    return f.select("page", T.without_page_number(made, F.col("number")).alias("stripped"))
+    return _furniture(spark, d).select("page", "role", T.without_page_number(T.collapse(F.col("text")), F.col("printed")).alias("stripped"))
 
 
 def _edges(spark, d):
@@ -91,16 +100,6 @@ def q05_continuation_candidates(spark, d):
     return _edges(spark, d)
 
 
-@query("""WITH r AS (SELECT source AS book, doc_id // 20 + 1 AS page, text, n_chars < 1500 AND lag(n_chars) OVER w < 1500 AS linked FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id)),
-c AS (SELECT *, sum(CASE WHEN coalesce(linked, FALSE) THEN 0 ELSE 1 END) OVER (PARTITION BY book ORDER BY page) AS chain_id FROM r)
-SELECT book, chain_id::BIGINT AS chain_id, count(*) AS parts, min(page) AS first_page FROM c GROUP BY ALL""")
-def q06_continuation_chains(spark, d):
-    w = Window.partitionBy("book").orderBy("page")
-    nodes = read(spark, d, "documents").select(F.col("source").alias("book"), (F.floor(F.col("doc_id") / 20) + 1).alias("page"), "n_chars")
-    linked = F.coalesce((F.col("n_chars") < 1500) & (F.lag("n_chars").over(w) < 1500), F.lit(False))
-    return W.chains(nodes, ["book"], ["page"], linked).groupBy("book", "chain_id").agg(F.count("*").alias("parts"), F.min("page").alias("first_page"))
-
-
 @query(f"""WITH {_BLOCKS}, p AS (SELECT page, seq, text, lag(text) OVER (PARTITION BY page ORDER BY seq) AS pv FROM blk),
 q AS (SELECT page, seq, (CASE WHEN pv IS NULL OR pv = '' OR text = '' OR regexp_matches(pv, '(\\s|[-‐‑­])$') OR regexp_matches(text, '^(\\s|[,.;:!?)\\]}}])') THEN '' ELSE ' ' END) || text AS piece FROM p)
 SELECT page, count(*) AS parts, md5(string_agg(piece, '' ORDER BY seq)) AS text_md5 FROM q GROUP BY page""")
@@ -205,22 +204,18 @@ def q19_page_exclusion(spark, d):
     return read(spark, d, "documents").select("doc_id", "source").join(read(spark, d, "labels").where("toxic = 1").select("doc_id"), "doc_id", "left_anti")
 
 
-@query("SELECT event_type AS key, sum(floor(value)::BIGINT)::BIGINT AS total FROM events WHERE value IS NOT NULL GROUP BY event_type")
-def q20_usage_totals(spark, d):
-    pages = read(spark, d, "events").where("value is not null").select(F.create_map("event_type", F.floor("value")).alias("usage"))
-    return R.usage_totals(pages)
-
-
-@query("SELECT user_id % 3 AS profile, count(*) FILTER (WHERE event_type <> 'error') AS succeeded, count(*) FILTER (WHERE event_type = 'error') AS failed FROM events GROUP BY 1")
-def q21_routing_summary(spark, d):
-    return read(spark, d, "events").groupBy((F.col("user_id") % 3).alias("profile")).agg(F.count_if(F.col("event_type") != "error").alias("succeeded"), F.count_if(F.col("event_type") == "error").alias("failed"))
+_MESSAGES = ("Daily limit", "limit", "quota PerDayPerProject", "30 requests per minute", "per-day cap", "requests_per_day")
+_STATUS = (429, 408, 500, 501, 503, 401, 403, 400, 200, 505, 504)
+_ERRORS = (None, None, None, "recitation", "invalid_response", "missing_asset", "provider_setup", "other")
 
 
-@query("""WITH r AS (SELECT event_id, [429, 408, 500, 401, 403, 400, 200][event_id % 7 + 1] AS s, CASE WHEN event_id % 2 = 0 THEN 'Daily limit' ELSE 'limit' END AS m FROM events)
-SELECT event_id, CASE WHEN s = 429 AND contains(lower(m), 'daily') THEN 'quota_exhausted' WHEN s = 429 THEN 'rate_limit' WHEN s = 408 OR s >= 500 THEN 'transient' WHEN s = 401 THEN 'authentication' WHEN s = 403 THEN 'permission' WHEN s = 400 THEN 'invalid_request' ELSE 'unknown' END AS kind FROM r""")
+@query(f"""WITH r AS (SELECT event_id, {list(_STATUS)}[event_id % 11 + 1] AS s, {list(_MESSAGES)}[event_id % 6 + 1] AS m, {[e or "" for e in _ERRORS]}[event_id % 8 + 1] AS e FROM events)
+SELECT event_id, CASE WHEN e IN ('missing_asset', 'provider_setup') THEN 'configuration' WHEN e = 'recitation' THEN 'recitation' WHEN e = 'invalid_response' THEN 'invalid_output' WHEN e = 'other' THEN 'unknown'
+ WHEN s = 429 AND regexp_matches(lower(m), 'daily|per[ -]day|requests_per_day|requestsperday|perdayperproject') THEN 'quota_exhausted' WHEN s = 429 THEN 'rate_limit' WHEN s IN (408, 500, 502, 503, 504) THEN 'transient'
+ WHEN s = 401 THEN 'authentication' WHEN s = 403 THEN 'permission' WHEN s = 400 THEN 'invalid_request' ELSE 'unknown' END AS kind FROM r""")
 def q22_failure_classifier(spark, d):
-    status = F.get(F.array(*map(F.lit, (429, 408, 500, 401, 403, 400, 200))), (F.col("event_id") % 7).cast("int"))
-    return read(spark, d, "events").select("event_id", R.failure_kind(status, F.when(F.col("event_id") % 2 == 0, "Daily limit").otherwise("limit")).alias("kind"))
+    pick = lambda values: F.get(F.array(*map(F.lit, values)), (F.col("event_id") % len(values)).cast("int"))
+    return read(spark, d, "events").select("event_id", R.failure_kind(pick(_STATUS), pick(_MESSAGES), pick(_ERRORS)).alias("kind"))
 
 
 @query("WITH r AS (SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events WHERE event_type = 'error') SELECT event_id, k::INTEGER AS attempt, greatest(least(1.0::DOUBLE * pow(2.0, k - 1), 8.0), CASE WHEN event_id % 5 = 0 THEN 5.5::DOUBLE ELSE 0.0 END) AS delay FROM r")
@@ -265,14 +260,13 @@ def q27_filter_cascade(spark, d):
 
 
 def _words(spark, d):
-    first = F.get(F.split("text", "\n"), F.lit(0))
-    w = read(spark, d, "documents").select(F.col("doc_id").alias("page_id"), F.posexplode(F.split(first, " ")).alias("word_no", "word")).where("word <> ''")
+    w = read(spark, d, "documents").select(F.col("doc_id").alias("page_id"), F.posexplode(F.split("text", r"[ \n]")).alias("word_no", "word")).where("word <> ''")
     return V.word_offsets(w, ["page_id"], "word_no").withColumn("confidence", ((F.col("page_id") + F.col("word_no") * 7) % 100).cast("double"))
 
 
-_WORDS = r"""w0 AS (SELECT doc_id AS page_id, split(split(text, chr(10))[1], ' ') AS l FROM documents), w1 AS (SELECT page_id, unnest(range(len(l)))::INTEGER AS word_no, unnest(l) AS word FROM w0),
+_WORDS = r"""w0 AS (SELECT doc_id AS page_id, string_split_regex(text, '[ \n]') AS l FROM documents), w1 AS (SELECT page_id, unnest(range(len(l)))::INTEGER AS word_no, unnest(l) AS word FROM w0),
 w2 AS (SELECT *, lag(word) OVER (PARTITION BY page_id ORDER BY word_no) AS p FROM w1 WHERE word <> ''),
-w3 AS (SELECT *, sum(length(word) + CASE WHEN p IS NULL OR regexp_matches(word, '^[,.;:!?)\]}]+$') OR regexp_matches(p, '^[(\[{]+$') THEN 0 ELSE 1 END) OVER (PARTITION BY page_id ORDER BY word_no)::INTEGER AS "end" FROM w2),
+w3 AS (SELECT *, sum(length(word) + CASE WHEN p IS NULL OR contains('.,;:!?%)]}»”’', word[1]) OR contains('([{«“‘', p[-1]) THEN 0 ELSE 1 END) OVER (PARTITION BY page_id ORDER BY word_no)::INTEGER AS "end" FROM w2),
 w AS (SELECT page_id, word_no, word, "end" - length(word)::INTEGER AS start, "end", ((page_id + word_no * 7) % 100)::DOUBLE AS confidence FROM w3)"""
 
 
@@ -297,15 +291,19 @@ def q29_interval_confidence(spark, d):
     return V.supported(_findings(spark, d), _words(spark, d)).select("page_id", "finding_id", "confidence")
 
 
-@query(f"""WITH {_WORDS}, {_FIND} SELECT f.page_id, f.finding_id FROM f WHERE EXISTS (SELECT 1 FROM w WHERE w.page_id = f.page_id AND w.word_no % 3 = 0 AND f.start < greatest(w."end", w.start + 1) AND greatest(f."end", f.start + 1) > w.start)""")
+@query(f"""WITH {_WORDS}, {_FIND} SELECT f.page_id, f.finding_id FROM f WHERE EXISTS (SELECT 1 FROM w WHERE w.page_id = f.page_id AND f.start < greatest(w."end", w.start + 1) AND greatest(f."end", f.start + 1) > w.start)""")
 def q30_overlap_semijoin(spark, d):
-    return V.covered(_findings(spark, d), _words(spark, d).where("word_no % 3 = 0").select("page_id", "start", "end")).select("page_id", "finding_id")
+    return V.covered(_findings(spark, d), _words(spark, d).select("page_id", "start", "end")).select("page_id", "finding_id")
 
 
-@query("SELECT doc_id, md5(substr(text, 1, 2) || 'X' || substr(text, 6, 5) || '' || substr(text, 13)) AS corrected FROM documents WHERE length(text) >= 12")
+@query("""WITH e AS (SELECT doc_id, text, length(text) AS n FROM documents)
+SELECT doc_id, md5(CASE WHEN n < 4 THEN text ELSE substr(text, 1, n // 4) || 'X' || substr(text, n // 4 + 2, n // 2 - n // 4 - 1) || substr(text, n - n // 4 + 1) END) AS corrected FROM e""")
 def q31_corrections_overlay(spark, d):
-    edit = lambda a, b, r: F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), F.lit(r).alias("replacement"))
-    return read(spark, d, "documents").where("length(text) >= 12").select("doc_id", F.md5(V.with_corrections(F.col("text"), F.array(edit(10, 12, ""), edit(2, 5, "X"))).cast("binary")).alias("corrected"))
+    n = F.length("text")
+    part = lambda k: F.floor(n / k).cast("int")
+    edit = lambda a, b, r: F.struct(a.alias("start"), b.alias("end"), F.lit(r).alias("replacement"))
+    edits = F.when(n >= 4, F.array(edit(part(2), (n - part(4)).cast("int"), ""), edit(part(4), part(4) + 1, "X"))).otherwise(F.array().cast("array<struct<start:int,end:int,replacement:string>>"))
+    return read(spark, d, "documents").select("doc_id", F.md5(V.with_corrections(F.col("text"), edits).cast("binary")).alias("corrected"))
 
 
 def _headings(spark, d):
@@ -343,30 +341,11 @@ def q36_list_ordinals(spark, d):
     return W.list_ordinals(items, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]).select("l_orderkey", "l_linenumber", "value")
 
 
-@query("""WITH h AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href FROM pages) SELECT page_id, count(*) AS links, count(*) FILTER (WHERE regexp_matches(href, '^([a-z]+:|//)')) AS external,
-count(*) FILTER (WHERE NOT regexp_matches(href, '^([a-z]+:|//)') AND NOT EXISTS (SELECT 1 FROM pages p WHERE ends_with(p.url, href))) AS broken FROM h GROUP BY page_id""")
-def q37_link_integrity(spark, d):
-    pages = read(spark, d, "pages")
-    hrefs = pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)).alias("href"))
-    path = lambda u: F.regexp_extract(u, "^[a-z]+://[^/]*(/.*)$", 1)
-    there = pages.select(path(F.col("url")).alias("href")).distinct().withColumn("there", F.lit(True))
-    external = F.col("href").rlike("^([a-z]+:|//)")
-    return hrefs.join(there, "href", "left").groupBy("page_id").agg(F.count("*").alias("links"), F.count_if(external).alias("external"), F.count_if(~external & F.col("there").isNull()).alias("broken"))
-
-
-@query("SELECT page_id, replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS title FROM (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS t FROM pages)")
+@query("SELECT page_id, replace(replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#x27;') AS title FROM (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS t FROM pages)")
 def q38_title_escape(spark, d):
     return read(spark, d, "pages").select("page_id", T.escape_markup(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
 
 
-@query("""WITH r AS (SELECT p_partkey, (p_size % 10) / 20.0::DOUBLE AS x, (p_size % 7) / 14.0::DOUBLE AS wd FROM part) SELECT p_partkey, least(greatest(floor(x * 1000)::INTEGER, 0), 999) AS lft, greatest(least(ceil((x + wd) * 1000)::INTEGER, 1000), least(greatest(floor(x * 1000)::INTEGER, 0), 999) + 1) AS rgt FROM r""")
-def q39_pixel_box(spark, d):
-    x, wide = (F.col("p_size") % 10) / F.lit(20.0), (F.col("p_size") % 7) / F.lit(14.0)
-    left = F.least(F.greatest(F.floor(x * 1000).cast("int"), F.lit(0)), F.lit(999))
-    right = F.greatest(F.least(F.ceil((x + wide) * 1000).cast("int"), F.lit(1000)), left + 1)
-    return read(spark, d, "part").select("p_partkey", left.alias("lft"), right.alias("rgt"))
-
-
 @query("SELECT event_type AS category, count(*) FILTER (WHERE value >= 50) AS passed, count(*) AS total, bool_and(coalesce(value >= 50, FALSE)) AS all_passed FROM events GROUP BY event_type")
 def q40_category_counts(spark, d):
     ok = F.coalesce(F.col("value") >= 50, F.lit(False))
@@ -381,11 +360,9 @@ def q41_metadata_merge(spark, d):
 
 @query()
 def q42_diff_ratio(spark, d):
-    first = lambda c: F.substring_index(c, "\n", 1)
-    docs = read(spark, d, "documents")
-    w = Window.partitionBy("source").orderBy("doc_id")
-    pairs = docs.select(F.col("doc_id").cast("string").alias("id"), first(F.col("text")).alias("mine"), F.coalesce(F.lag(first(F.col("text"))).over(w), F.lit("")).alias("other"))
-    return V.compared(pairs)
+    """Each text against itself as if badly read; tests hold the operator against the standard library."""
+    misread = F.replace(F.replace("text", F.lit(" the "), F.lit(" tho ")), F.lit(", "), F.lit(" "))
+    return D.compared(read(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("mine"), misread.alias("other")))
 
 
 @query("SELECT sha256(text) AS hash, count(*) AS copies, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -393,11 +370,6 @@ def q45_dedup_errors(spark, d):
     return read(spark, d, "documents").groupBy(F.sha2("text", 256).alias("hash")).agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")).where("copies > 1")
 
 
-@query("SELECT doc_id, sha256(text) <> sha256(trim(regexp_replace(text, '[ ]+', ' ', 'g'))) AS modified FROM documents")
-def q44_proof_modified(spark, d):
-    return read(spark, d, "documents").select("doc_id", (F.sha2("text", 256) != F.sha2(F.trim(F.regexp_replace("text", "[ ]+", " ")), 256)).alias("modified"))
-
-
 @query("SELECT event_id, CASE WHEN NOT list_contains(json_keys(props), 'k') THEN 1 ELSE 0 END + CASE WHEN len(list_filter(json_keys(props), lambda x: x <> 'k')) > 0 THEN len(list_filter(json_keys(props), lambda x: x <> 'k')) ELSE 0 END + CASE WHEN list_contains(json_keys(props), 'k') AND json_type(props, '$.k') NOT IN ('UBIGINT', 'BIGINT') THEN 1 ELSE 0 END AS violations FROM events")
 def q43_contract_violations(spark, d):
     return read(spark, d, "events").select("event_id", F.size(C.violations(F.col("props"), {"k": "BIGINT|INT|SMALLINT|TINYINT"})).cast("long").alias("violations"))

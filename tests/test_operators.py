@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from folio.functions import text as T
 from folio.operators import contract as C
+from folio.operators import findings as D
 from folio.operators import review as V
 from folio.operators import runtime as R
 from folio.operators import windows as W
@@ -30,7 +31,15 @@ def test_text_functions(spark):
     assert one(spark, T.footnote_label(F.col("t")), t="th") is None
     assert one(spark, T.without_page_number(F.col("t"), F.lit(12)), t="12 The book") == "The book"
     assert one(spark, T.without_page_number(F.col("t"), F.lit(12)), t="The book 112") == "The book 112"
+    for text, left in (("12  Title", "Title"), ("12\tTitle", "Title"), ("Title 12", "Title"), ("12", ""), ("12 12", ""), ("Title12", "Title12"), ("A.B 1.2", "A.B 1.2")):
+        assert one(spark, T.without_page_number(T.collapse(F.col("t")), F.lit(" 12 ")), t=text) == left
+    assert one(spark, T.without_page_number(F.col("t"), F.lit(r"\E.")), t=r"\E. x") == "x" and one(spark, T.without_page_number(F.col("t"), F.lit(None)), t="12 x") == "12 x"
+    for text, label in (("{3}", "3"), ("(a).", None), ("(a.)", "a"), (" †† ", "††"), ("1234", None), ("", None), ("É", None)):
+        assert one(spark, T.footnote_label(F.col("t")), t=text) == label
+    assert one(spark, T.fold(F.col("t")), t="STRAßE ΣΑΣ") == one(spark, T.fold(F.col("t")), t="strasse σας")
     assert one(spark, T.without_markup_stars(F.col("t")), t="**_x_**") == "x"
+    for text, left in (("***", "*"), ("**a*", "*a"), ("__", "__"), ("*a\nb*", "a\nb"), ("_*_x_*_", "_x_")):
+        assert one(spark, T.without_markup_stars(F.col("t")), t=text) == left
     assert one(spark, T.block_id(F.col("t"), F.lit(12345)), t="p") == "p:block:12346"
     assert one(spark, T.escape_markup(F.col("t")), t='<a b="&">') == "&lt;a b=&quot;&amp;&quot;&gt;"
 
@@ -84,9 +93,31 @@ def test_review_rules(spark):
     assert edits.select(V.with_corrections(F.col("t"), F.col("e")).alias("x")).first().x == "aXYcd"
 
 
+def test_word_separators(spark):
+    """A space goes in by the first character of a word and the last of the one before."""
+    words = ["foo(", "bar", "50", "%", "«", "oui", "»", "a", "?!", "“b”", "c"]
+    rows = [("p", i, w) for i, w in enumerate(words)]
+    got = V.word_offsets(spark.createDataFrame(rows, "page_id string, n int, word string"), ["page_id"], "n").orderBy("n").collect()
+    text = "foo(bar 50% «oui» a?! “b” c"
+    assert [text[r.start : r.end] for r in got] == words and got[-1].end == len(text)
+
+
+def test_failure_kinds(spark):
+    cases = [(429, "Requests PER DAY", None, "quota_exhausted"), (429, "per minute", None, "rate_limit"), (503, "", None, "transient"), (501, "", None, "unknown"), (None, None, "recitation", "recitation"), (None, None, "invalid_response", "invalid_output"), (None, None, "provider_setup", "configuration"), (400, "", None, "invalid_request"), (429, None, None, "rate_limit"), (None, None, None, "unknown")]
+    df = spark.createDataFrame([(*c, i) for i, c in enumerate(cases)], "s int, m string, e string, want string, i int")
+    assert all(r.want == r.got for r in df.select("want", R.failure_kind(F.col("s"), F.col("m"), F.col("e")).alias("got")).collect())
+    ends = spark.createDataFrame([("a", [("timeout",), ("permission",)]), ("b", [("permission",), ("transient",)]), ("c", [])], "k string, a array<struct<reason:string>>")
+    assert [r.x for r in ends.orderBy("k").select(R.stops_run(F.col("a")).alias("x")).collect()] == [True, False, False]
+
+
+def test_kinds_of_spaces(spark):
+    kind = lambda a, b: one(spark, V.difference_kind(F.col("a"), F.col("b")), a=a, b=b)
+    assert [kind(" ", ","), kind(" ", ""), kind("", "  "), kind(", .", ";")] == ["character", "whitespace", "whitespace", "punctuation"]
+
+
 def test_compared_is_difflib(spark):
     pairs = [("1", "the quick brown fox", "the quack brown box"), ("2", "", "a"), ("3", "same", "same")]
-    got = {r.id: r for r in V.compared(spark.createDataFrame(pairs, "id string, mine string, other string")).collect()}
+    got = {r.id: r for r in D.compared(spark.createDataFrame(pairs, "id string, mine string, other string")).collect()}
     for i, a, b in pairs:
         assert got[i].ratio == SequenceMatcher(None, a, b, autojunk=False).ratio()
     assert len(got["1"].groups) == 1 and got["3"].groups == []
