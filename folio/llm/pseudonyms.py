@@ -17,14 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Replace in production; pseudonyms are as secret as the key.
-KEY = b"folio: replace this key"
 ROUNDS = 10
 _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1).toordinal() - datetime.date(1900, 1, 1).toordinal()
 
 
 class Feistel:
-    def __init__(self, key: bytes = KEY) -> None:
+    def __init__(self, key: bytes) -> None:
+        if not key:
+            raise ValueError("pseudonyms are as secret as their key: it can't be empty")
         self.key = hashlib.blake2b(key, digest_size=32).digest()
 
     def _f(self, kind: str, size: int, i: int, x: int, m: int) -> int:
@@ -213,8 +213,9 @@ def pseudonymised(text: str, f: Feistel, back: bool = False) -> tuple[str, list[
     return "".join([*out, text[done:]]), spans
 
 
-def pseudonyms(docs: DataFrame, key: bytes = KEY) -> DataFrame:
-    """(doc_id, n_found, changed, spans, text) of each row, text with pseudonyms in place of the values found.
+def pseudonyms(docs: DataFrame, key: bytes) -> DataFrame:
+    """(doc_id, n_found, changed, spans, text) of each row, text with pseudonyms in place of the values found. The key has
+    no default: whoever has it can turn pseudonyms back.
 
     Null text stays null with no spans; an empty table gives none; other columns are not read.
     """
