@@ -45,12 +45,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonyms.pseudonyms(table(spark, sf_dir, "documents"))
+    """With the session's key; the stand-in is for made-up data, whose pseudonyms need no secret."""
+    key = spark.conf.get("spark.folio.pseudonyms.key", "made-up data")
+    return pseudonyms.pseudonyms(table(spark, sf_dir, "documents"), key.encode())
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.license_scan(licenses.document_files(table(spark, sf_dir, "documents")))
-    return found.withColumn("doc_id", F.regexp_extract("path", r"(-?\d+)\.txt$", 1).cast("long"))
+    return found.withColumn("doc_id", F.regexp_extract("path", r"(-?\d+)\.txt$", 1).try_cast("long"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
