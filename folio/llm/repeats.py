@@ -205,9 +205,13 @@ def _rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], _MARK_NAMES)
 
 
+#: Masks of the first so many bytes of a number of 8 bytes, the first byte highest.
+_FIRST_BYTES = np.array([((1 << 64) - 1) ^ ((1 << (8 * (8 - n))) - 1) for n in range(9)], np.uint64)
+
+
 def suffix_array(buf: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes that start at ``at`` and stop at ``ends``, sorted, and the common-prefix length of each with the one before it."""
-    padded = np.concatenate([buf, np.zeros(16, np.uint8)])
+    view = eights(buf)
     length = ends - at
     depth = -(-int(length.max(initial=1)) // 8)
     order, group = np.arange(len(at)), np.zeros(len(at), np.int64)
@@ -217,10 +221,7 @@ def suffix_array(buf: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.
         # Only suffixes that still share their group with another are compared by the next 8 bytes.
         p = at[order[open_]] + 8 * d
         left = np.clip(ends[order[open_]] - p, 0, 8)
-        word = np.zeros(len(open_), np.uint64)
-        for i in range(8):
-            byte = padded[np.minimum(p + i, len(buf))].astype(np.uint64)
-            word |= np.where(i < left, byte, 0).astype(np.uint64) << U(8 * (7 - i))
+        word = view[np.minimum(p, len(buf))].byteswap() & _FIRST_BYTES[left]
         by = np.lexsort((left, word, group[open_]))
         moved = order[open_][by]
         word, left, g = word[by], left[by], group[open_][by]
