@@ -22,7 +22,7 @@ from folio.operators.review import BRIDGE, difference_kind, severity
 UNREVIEWED = ("image", "page_header", "page_footer", "page_number")
 DECISIONS = ("keep_source", "use_ocr", "use_suggestion", "manual")
 RUN_TYPE = "struct<start:int,end:int,block_id:string,span_id:string,span_offset:int,block_role:string>"
-#: Texts whose lengths multiply to more are compared line by line first; only stretches between equal lines are matched by character.
+#: Texts whose lengths multiply to more are aligned by words first; only stretches between equal words are matched by character.
 WHOLE_PRODUCT = 16_000_000
 
 
