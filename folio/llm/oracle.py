@@ -52,5 +52,70 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_w
 """
 
 
+def _crc32(text: str) -> str:
+    """Bit by bit, as the dialect has no function for it."""
+    return f"(4294967295 - list_reduce(list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT), lambda a, x: list_reduce(range(8), lambda b, i: xor(b >> 1, CASE WHEN b & 1 = 1 THEN 3988292384 ELSE 0 END), xor(a, x)), 4294967295::BIGINT))"
+
+
+_OP11 = f"""
+WITH t AS (SELECT conv_id, {{'r': coalesce(role, ''), 'x': coalesce(text, '')}} AS m, turn FROM conversations WHERE conv_id IS NOT NULL
+), l AS (SELECT conv_id, list(m ORDER BY turn NULLS FIRST, md5(strlen(m.r)::VARCHAR || ':' || m.r || m.x)) AS s FROM t GROUP BY conv_id
+), ids AS (SELECT conv_id AS c, {_crc32("conv_id::VARCHAR")} % 9 AS h, s FROM l
+), n AS (SELECT c, list_concat(coalesce(b.s[1:h], []), ids.s[h + 1:]) AS s FROM ids LEFT JOIN l b ON b.conv_id = c - c % 5
+), pre AS (SELECT c, d, len(s) AS n, md5(to_json(s[1:d])::VARCHAR) AS k, CASE WHEN d = 0 THEN 0 ELSE strlen(s[d].x) END AS bytes FROM (SELECT *, unnest(range(len(s) + 1)) AS d FROM n)
+), node AS (SELECT k, d, min(c) AS c, count(*) AS n_convs, any_value(bytes) AS bytes FROM pre GROUP BY k, d
+), up AS (SELECT DISTINCT a.k, b.k AS parent FROM pre a JOIN pre b ON a.c = b.c AND a.d = b.d + 1
+), kids AS (SELECT parent AS k, count(*) AS n_children FROM up GROUP BY parent
+), sums AS (
+  SELECT a.k, sum(CASE WHEN kids.k IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_leaves, sum((node.n_convs - 1) * node.bytes)::BIGINT AS saved_tokens
+  FROM node JOIN pre a ON a.c = node.c AND a.d <= node.d LEFT JOIN kids ON kids.k = node.k GROUP BY a.k
+), ends AS (SELECT k, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS h FROM pre WHERE d = n GROUP BY k)
+SELECT node.c AS conv_id, node.d AS depth, p.c AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, coalesce(h, sha256('')) AS ends_sha256
+FROM node LEFT JOIN up ON up.k = node.k LEFT JOIN node p ON p.k = up.parent LEFT JOIN kids ON kids.k = node.k JOIN sums ON sums.k = node.k LEFT JOIN ends ON ends.k = node.k
+"""
+
+
+def _tree(name: str, levels: int) -> str:
+    """Levels of the trees of name0 (g, i, d), what stands beside their nodes, and their roots."""
+    out = []
+    for k in range(levels):
+        at, run = f"{name}{k}", "PARTITION BY g, i // 8 ORDER BY i ROWS BETWEEN"
+        out += [
+            f"{at}s AS (SELECT g, i, coalesce(string_agg(d, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, coalesce(string_agg(d, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {at} WHERE g IN (SELECT g FROM {at} GROUP BY g HAVING count(*) > 1))",
+            f"{name}{k + 1} AS (SELECT g, i // 8 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d FROM {at} WHERE g IN (SELECT g FROM {at} GROUP BY g HAVING count(*) > 1) GROUP BY g, i // 8)",
+        ]
+    tops = " UNION ALL ".join(f"SELECT g, any_value(d) AS d FROM {name}{k} GROUP BY g HAVING count(*) = 1" for k in range(levels + 1))
+    return ", ".join([*out, f"{name}top AS ({tops})"])
+
+
+def _fold(name: str, levels: int, source: str, out: str, place: str) -> str:
+    """source (g, the place, f, p) with the digest f carried up and the siblings added to p."""
+    steps = []
+    for k in range(levels):
+        before = source if not k else f"{out}{k}"
+        steps.append(f"{out}{k + 1} AS (SELECT b.* EXCLUDE (f, p), CASE WHEN s.l IS NULL THEN b.f ELSE sha256(s.l || b.f || s.r) END AS f, b.p || coalesce(s.l || s.r, '') AS p FROM {before} b LEFT JOIN {name}{k}s s ON s.g = b.g AND s.i = b.{place} // {8**k})")
+    return ", ".join(steps)
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen({column}) || ':' || {column}, '-')"
+
+
+#: For up to 8 ** 7 documents of a language and 8 ** 3 languages.
+_OP13 = f"""
+WITH raw AS (SELECT doc_id, coalesce('=' || lang, '') AS g, {" || ".join(_field(f"{c}::VARCHAR") for c in ("doc_id", "source", "lang", "n_chars"))} AS head, text, {_crc32("doc_id::VARCHAR")} % 3 = 0 AS hit FROM documents
+), x AS (
+  SELECT doc_id, g, sha256(head || {_field("text")}) AS leaf,
+    sha256(head || CASE WHEN hit THEN {_field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {_field("text")} END) AS f FROM raw
+), y AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, f) - 1 AS i FROM x
+), a0 AS (SELECT g, i, leaf AS d FROM y), {_tree("a", 7)}
+, langs AS (SELECT g AS lang, '' AS g, row_number() OVER (ORDER BY g) - 1 AS j, d FROM atop
+), b0 AS (SELECT g, j AS i, d FROM langs), {_tree("b", 3)}
+, p0 AS (SELECT *, '' AS p FROM y), {_fold("a", 7, "p0", "q", "i")}
+, r0 AS (SELECT q7.* EXCLUDE (g), '' AS g, j, langs.d AS subroot FROM q7 JOIN langs ON langs.lang = q7.g), {_fold("b", 3, "r0", "z", "j")}
+SELECT doc_id, leaf, subroot, btop.d AS root, sha256(p) AS proof_sha256, f AS folded_root, f = btop.d AS verified FROM z3 CROSS JOIN btop
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_minhash_near_dedup": _OP2, "op4_exact_top_k": _OP4, "op8_quality_rules": _OP8}
+    return {"op2_minhash_near_dedup": _OP2, "op4_exact_top_k": _OP4, "op8_quality_rules": _OP8, "op11_prefix_trie": _OP11, "op13_merkle_manifest": _OP13}

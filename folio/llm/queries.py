@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import licenses, lines, mixing, near_dedup, pieces, pseudonyms, quality, repeats, topk, toxicity
+from folio.llm import conversations, licenses, lines, manifest, mixing, near_dedup, pieces, pseudonyms, quality, repeats, tokenfiles, topk, toxicity
 from folio.llm.tables import table
 
 
@@ -55,5 +56,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("doc_id", F.regexp_extract("path", r"(-?\d+)\.txt$", 1).try_cast("long"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = tokenfiles.tokenized(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(manifest.tampered_leaves(table(spark, sf_dir, "documents"))).drop("siblings")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op")}

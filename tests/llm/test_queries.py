@@ -24,10 +24,11 @@ def tables(spark, tmp_path_factory):
     rows += rows[5:9]
     labels = [(i, 1, int(i % 7 == 0)) for i in range(60)]
     vectors = [(i, [float(rng.randint(-3, 3)) / 4 for _ in range(4)]) for i in range(120)] + [(200, None), (201, [float("inf")] * 4)]
+    talk = [(None if i % 30 == 7 else i % 13, None if i % 11 == 5 else i % 4, rng.choice(["user", None]), rng.choice(["", "hello", "é", None]), "x") for i in range(150)]
     out = {}
     for name, keep in (("full", 1), ("empty", 0)):
         d = str(tmp_path_factory.mktemp(name))
-        for table, data, schema in (("documents", rows, SCHEMA), ("labels", labels, "doc_id long, quality int, toxic int"), ("embeddings", vectors, "vec_id long, embedding array<double>")):
+        for table, data, schema in (("documents", rows, SCHEMA), ("labels", labels, "doc_id long, quality int, toxic int"), ("embeddings", vectors, "vec_id long, embedding array<double>"), ("conversations", talk, "conv_id long, turn long, role string, text string, depth string")):
             spark.createDataFrame(data if keep else [], schema).write.parquet(f"{d}/{table}.parquet")
         out[name] = d
     return rows, out
@@ -39,8 +40,8 @@ def test_query_on_odd_tables(spark, tables, name):
     run = queries.queries()[name]
     got = run(spark, dirs["full"])
     n = got.count()
-    # A path is one file however often it stands there, and vectors are not documents.
-    assert n == (len({r[0] for r in rows}) if name.startswith("op10") else n if name.startswith("op4") else len(rows))
+    # A path is one file however often it stands there; vectors and nodes of conversations are not documents.
+    assert n == (len({r[0] for r in rows}) if name.startswith("op10") else n if name.startswith(("op4", "op11")) else len(rows))
     assert run(spark, dirs["empty"]).count() == 0
     again = run(spark, dirs["full"])
     assert sorted(map(repr, got.collect())) == sorted(map(repr, again.collect()))
