@@ -15,6 +15,7 @@ are written under a name of the attempt and renamed when they are whole, so a re
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 from collections.abc import Callable, Iterator
@@ -40,7 +41,7 @@ KEYS_OF_INDEX = 50_000
 #: Ids of a shard that one task reads.
 IDS_OF_READ = 1 << 22
 #: Entries of the memory of a worker for chunks of text.
-MEMORY = 400_000
+MEMORY = 800_000
 ENTRY = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("at", "<u8"), ("n", "<u8")])
 
 
@@ -50,50 +51,66 @@ class Encoder:
 
     _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
     _TWO = re.compile(r"\s\s")
+    #: Where a full stop or comma follows anything but a common letter or digit, with which it makes no piece of its own.
+    _NO_STOP = re.compile(r"[.,](?<![A-Za-z0-9À-ÖØ-öø-ÿ][.,])")
 
     def __init__(self, model: str) -> None:
+        # Tasks are what runs in parallel here.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
         self.parted = json.loads(model).get("pre_tokenizer") == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} and not json.loads(model).get("normalizer")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        # Ids of pieces that begin with a blank or line feed, as the byte level writes them.
+        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.begins[[i for piece, i in vocabulary.items() if piece[:1] in ("Ġ", "Ċ")]] = True
         self.known: dict[str, bytes] = {}
 
     def _bytes(self, ids) -> bytes:
         return np.asarray(ids, f"<u{self.width}").tobytes()
 
+    def _encoded(self, texts: list[str]) -> Iterator[np.ndarray]:
+        return (np.array(e.ids, f"<u{self.width}") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+
     def _chunks(self, text: str) -> list[str]:
         if "\0" in text or self._TWO.search(text):
             return self._CUT.split(text)
-        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+        text = text.replace(" ", "\0 ").replace("\n", "\0\n")
+        if not self._NO_STOP.search(text):
+            text = text.replace(",\0", "\0,\0").replace(".\0", "\0.\0")
+        return text.split("\0")
 
     def _learn(self, new: list[str]) -> None:
-        """Chunks with white space before and none behind stay apart when joined; the others are encoded alone."""
-        joined = [c for c in new if c and c[0] in " \n" and not c[-1].isspace()]
-        alone = [c for c in new if not c or c[0] not in " \n" or c[-1].isspace()]
-        for c, e in zip(alone, self.tokenizer.encode_batch(alone, add_special_tokens=False), strict=True):
-            self.known[c] = self._bytes(e.ids)
+        """Chunks that hold one blank or line feed, in front of other characters, stay apart when joined and begin with a piece that tells it;
+        the others are encoded alone."""
+        one = [len(c) > 1 and c[0] in " \n" and not c[-1].isspace() and c.count(" ") + c.count("\n") == 1 for c in new]
+        joined, alone = [c for c, j in zip(new, one, strict=True) if j], [c for c, j in zip(new, one, strict=True) if not j]
+        self.known.update(zip(alone, map(np.ndarray.tobytes, self._encoded(alone)), strict=True))
         for i in range(0, len(joined), 5000):
             part = joined[i : i + 5000]
-            e = self.tokenizer.encode("".join(part), add_special_tokens=False)
-            ends = np.cumsum([len(c) for c in part])
-            starts = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.offsets))
-            cuts = np.searchsorted(starts, ends) * self.width
-            raw = self._bytes(e.ids)
-            for c, a, b in zip(part, [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
-                self.known[c] = raw[a:b]
+            ids = next(self._encoded(["".join(part)]))
+            cuts = [*(np.flatnonzero(self.begins[ids]) * self.width).tolist(), len(ids) * self.width]
+            raw = ids.tobytes()
+            self.known.update(zip(part, [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
 
     def payloads(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text with the end id."""
         end = self._bytes([END_ID])
         if not self.parted:
-            return [self._bytes(e.ids) + end for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        parts = [self._chunks(t) for t in texts]
+            return [ids.tobytes() + end for ids in self._encoded(texts)]
         if len(self.known) > MEMORY:
             self.known.clear()
-        self._learn(list({c for p in parts for c in p if c not in self.known}))
-        get = self.known.__getitem__
-        return [b"".join(map(get, p)) + end for p in parts]
+        get = self.known.get
+        parts = [self._chunks(t) for t in texts]
+        found = [list(map(get, p)) for p in parts]
+        gaps = [(f, i, p[i]) for p, f in zip(parts, found, strict=True) if None in f for i, x in enumerate(f) if x is None]
+        if gaps:
+            self._learn(list({c for _, _, c in gaps}))
+            for f, i, c in gaps:
+                f[i] = self.known[c]
+        return [b"".join(f) + end for f in found]
 
 
 _encoders: dict[int, Encoder] = {}
