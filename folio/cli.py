@@ -121,7 +121,7 @@ def prepare_proof(spark: SparkSession, a: argparse.Namespace) -> int:
     for r in changes:
         print(f"{r['book_id']}: {r['change']} {r['file']}")
     if before is None or a.force:
-        now.write.mode("overwrite" if before is None else "append").parquet(f"{a.proof}/{'baseline' if before is None else 'forced'}")
+        now.write.mode("overwrite").parquet(f"{a.proof}/baseline")
     return int(bool(changes) and not a.force)
 
 
@@ -139,7 +139,9 @@ def review_text(spark: SparkSession, a: argparse.Namespace) -> int:
     # Ids of findings are a page's; with the book they are one of all.
     keyed = lambda df: df.withColumn("page_id", F.to_json(F.struct("book_id", "page_id")))
     ocr = _write(differences, a.out, "differences")
-    sure = review.supported(keyed(ocr), keyed(words)).select("book_id", "finding_id", "confidence")
+    # Words have the offsets of the reading, so it is the reading's range that they support.
+    of_reading = keyed(ocr).select("book_id", "page_id", "finding_id", F.col("reference_start").alias("start"), F.col("reference_end").alias("end"))
+    sure = review.supported(of_reading, keyed(words)).select("book_id", "finding_id", "confidence")
     over = review.covered(keyed(ocr), keyed(heuristic)).select("book_id", "finding_id", F.lit(True).alias("covered"))
     judged = findings.diacritic_loss(ocr.join(sure, ["book_id", "finding_id"], "left").join(over, ["book_id", "finding_id"], "left"))
     longer = F.when(F.length(F.trim("text")) >= F.length(F.trim("reference_text")), F.col("text")).otherwise(F.col("reference_text"))
@@ -170,15 +172,16 @@ def import_review(spark: SparkSession, a: argparse.Namespace) -> int:
 def review_status(spark: SparkSession, a: argparse.Namespace) -> int:
     """States of all pages and their counts; 1 if a page is open."""
     pages = files.loaded_pages(files.page_runs(spark, a.runs)).select("book_id", F.col("page.page_id").alias("page_id"), "page")
-    seen = spark.read.parquet(f"{a.review}/projections").select("book_id", "page_id", F.col("text").alias("_then"), F.lit(True).alias("_seen"))
+    seen = spark.read.parquet(f"{a.review}/projections").select("book_id", "page_id", F.lit(True).alias("_seen"))
     now = findings.projections(pages.withColumn("page_number", F.lit(0))).select("book_id", "page_id", "text")
-    found = spark.read.parquet(f"{a.review}/findings").groupBy("book_id", "page_id").agg(F.collect_set("finding_id").alias("f"))
+    snapshots = spark.read.parquet(f"{a.review}/findings").select("book_id", "page_id", "finding_id", "start", "end", F.col("text").alias("_then"))
+    found = findings.with_stale(snapshots, now).groupBy("book_id", "page_id").agg(F.collect_set("finding_id").alias("f"), F.bool_or("stale").alias("_stale"))
     done = _maybe(spark, f"{a.review}/resolutions")
     none = spark.createDataFrame([], "book_id string, page_id string, finding_id string")
     solved = (none if done is None else done).groupBy("book_id", "page_id").agg(F.collect_set("finding_id").alias("r"))
     rows = now.join(seen, ["book_id", "page_id"], "left").join(found, ["book_id", "page_id"], "left").join(solved, ["book_id", "page_id"], "left")
     f, r = (F.coalesce(c, F.array().cast("array<string>")) for c in ("f", "r"))
-    state = review.review_state(F.coalesce("_seen", F.lit(False)), F.coalesce(F.col("text") == F.col("_then"), F.lit(False)), F.size(f), F.size(F.array_except(r, f)), F.size(F.array_except(f, r)))
+    state = review.review_state(F.coalesce("_seen", F.lit(False)), ~F.coalesce("_stale", F.lit(False)), F.size(f), F.size(F.array_except(r, f)), F.size(F.array_except(f, r)))
     states = _write(rows.select("book_id", "page_id", state.alias("state")), a.review, "status")
     counts = findings.state_counts(states, ["book_id"]).orderBy("book_id").collect()
     for row in counts:

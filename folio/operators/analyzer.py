@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions.text import collapse, ends_sentence, fold, footnote_label, starts_lower, verse_line_id, without_page_number
-from folio.operators.evidence import block_text, document_spans, provenance
+from folio.operators.evidence import BLOCK_TYPE, block_text, document_spans, provenance
 
+#: The block at one end of a page, with the node that it stands for.
+PAIR_END = f"struct<block:{BLOCK_TYPE},role:string,node_id:string>"
 FURNITURE = ("page_header", "page_footer", "page_number")
 LISTS = ("list", "list_item")
 FLOWING = ("paragraph", "list_item", "quote")
@@ -178,6 +180,17 @@ def _node_of_block(role: Column, block: Column, node_id: Column) -> Column:
     return F.when(role.isin(*LISTS), F.concat(block["block_id"], F.lit(":node:list-item"))).otherwise(node_id)
 
 
+def linked(pairs: DataFrame, *keep: str) -> DataFrame:
+    """Continuations from left to right (PAIR_END) of pages that follow each other, with the columns to keep."""
+    flows = lambda c: F.col(f"{c}.role").isin("paragraph", "list_item")
+    fits = F.col("left.role").isin(*FLOWING) & F.col("right.role").isin(*FLOWING) & ((F.col("left.role") == F.col("right.role")) | (flows("left") & flows("right")))
+    some = lambda c: block_text(F.col(f"{c}.block")).rlike(r"(?U)\S")
+    confidence, reasons = continuation_score(F.col("left.block"), F.col("right.block"))
+    rows = pairs.where(fits & some("left") & some("right")).select("book_id", *keep, F.col("left.node_id").alias("source_id"), F.col("right.node_id").alias("target_id"), confidence.alias("confidence"), reasons.alias("reasons"))
+    found = rows.where("confidence is not null and source_id <> target_id")
+    return found.select("book_id", *keep, F.concat("source_id", F.lit(":relationship:continues-to:"), "target_id").alias("relationship_id"), F.lit("continues_to").alias("kind"), "source_id", "target_id", "confidence", "reasons")
+
+
 def continuations(pages: DataFrame, placed: DataFrame) -> DataFrame:
     """Candidates (book_id, page_index, relationship_id, kind, source_id, target_id, confidence, reasons) from a page's last block
     to the first of the next, where their physical numbers follow."""
@@ -188,13 +201,7 @@ def continuations(pages: DataFrame, placed: DataFrame) -> DataFrame:
     w = Window.partitionBy("book_id").orderBy("page_index")
     both = pages.select("book_id", "page_index", "physical").join(ends, ["book_id", "page_index"], "left")
     pair = both.select("book_id", "page_index", "left", F.lead("right").over(w).alias("right"), (F.lead("physical").over(w) == F.col("physical") + 1).alias("next"))
-    flows = lambda c: F.col(f"{c}.role").isin("paragraph", "list_item")
-    fits = F.col("left.role").isin(*FLOWING) & F.col("right.role").isin(*FLOWING) & ((F.col("left.role") == F.col("right.role")) | (flows("left") & flows("right")))
-    some = lambda c: block_text(F.col(f"{c}.block")).rlike(r"(?U)\S")
-    confidence, reasons = continuation_score(F.col("left.block"), F.col("right.block"))
-    rows = pair.where(F.col("next") & fits & some("left") & some("right")).select("book_id", "page_index", F.col("left.node_id").alias("source_id"), F.col("right.node_id").alias("target_id"), confidence.alias("confidence"), reasons.alias("reasons"))
-    found = rows.where("confidence is not null and source_id <> target_id")
-    return found.select("book_id", "page_index", F.concat("source_id", F.lit(":relationship:continues-to:"), "target_id").alias("relationship_id"), F.lit("continues_to").alias("kind"), "source_id", "target_id", "confidence", "reasons")
+    return linked(pair.where("next"), "page_index")
 
 
 def _spans_text(spans: Column) -> Column:

@@ -7,9 +7,11 @@ the semantics); it runs in Arrow batches, a page at a time. Joins, states and ch
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -183,10 +185,16 @@ def difference_findings(projected: DataFrame, readings: DataFrame) -> DataFrame:
     return rows.select(_finding_id(F.col("page_number"), "ocr", F.col("n") + 1).alias("finding_id"), "book_id", "page_id", "page_number", F.lit("local_ocr").alias("source"), "kind", severity(F.col("kind"), F.col("text"), F.col("reference_text")).alias("severity"), F.col("g.start").alias("start"), F.col("g.end").alias("end"), F.col("g.other_start").alias("reference_start"), F.col("g.other_end").alias("reference_end"), "text", "reference_text", F.lit(None).cast("string").alias("suggested_text"), "anchor.block_id", "anchor.span_id", "anchor.block_role", "ratio")
 
 
+@cache
+def digit_class() -> str:
+    """A class of what counts as a digit: decimal ones, and those raised, lowered and encircled, as str.isdigit() has them."""
+    return "[\\p{Nd}" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isdigit() and not c.isdecimal()) + "]"
+
+
 def boundary_places(text: Column) -> Column:
     """0-based places where a space may be missing: a digit behind a letter; a capital behind a lower-case letter and a point."""
     # Each match starts anew behind its first character, as lookbehinds take none.
-    marked = F.regexp_replace(text, r"(?<=\p{L})(?=\p{Nd})|(?<=\p{IsLowercase}\.)(?=\p{IsUppercase})", "￿")
+    marked = F.regexp_replace(text, r"(?<=\p{L})(?=" + digit_class() + r")|(?<=\p{IsLowercase}\.)(?=\p{IsUppercase})", "￿")
     pieces = F.split(marked, "￿")
     sizes = F.transform(pieces, lambda p: F.length(p))
     ends = F.transform(sizes, lambda _, i: F.aggregate(F.slice(sizes, 1, i + 1), F.lit(0), lambda a, x: a + x))
@@ -310,6 +318,14 @@ def review_summary(findings: DataFrame, suppressed: DataFrame) -> DataFrame:
     return kept.join(by_reason, "book_id", "full_outer").na.fill(0)
 
 
+def with_stale(snapshots: DataFrame, projected: DataFrame) -> DataFrame:
+    """Findings (book_id, page_id, start, end, _then: the text that they saw) of pages that are there, with stale: whether the page's text
+    has another at that place, or none."""
+    rows = snapshots.join(projected.select("book_id", "page_id", F.col("text").alias("_now")), ["book_id", "page_id"])
+    same = (F.col("start") >= 0) & (F.col("end") >= F.col("start")) & (F.col("end") <= F.length("_now")) & (F.substring("_now", F.col("start") + 1, F.col("end") - F.col("start")) == F.col("_then"))
+    return rows.withColumn("stale", ~F.coalesce(same, F.lit(False))).drop("_now")
+
+
 def state_counts(states: DataFrame, by: list[str], known: tuple[str, ...] = ("not_reviewed", "pass", "needs_review", "resolved", "stale")) -> DataFrame:
     """A column of pages for each state, zero where there are none, and complete: whether all pages pass or are resolved."""
     return states.groupBy(*by).agg(*(F.count_if(F.col("state") == s).alias(s) for s in known), F.bool_and(F.col("state").isin("pass", "resolved")).alias("complete"))

@@ -26,26 +26,29 @@ def word_offsets(words: DataFrame, by: list[str], order: str) -> DataFrame:
 
 
 def supported(findings: DataFrame, words: DataFrame) -> DataFrame:
-    """confidence of findings (page_id, start, end): least of the words that overlap; else of the nearest within 2 characters.
+    """confidence of findings (page_id, start, end: of the reading that the words are from): least of the words that overlap, for which a
+    range is one wide at least; else of the nearest within 2 characters before its start and behind its end. Null without a word, and
+    without a range.
 
     The join keeps only words in reach, so a page's rows are not all paired with each other.
     """
     f = findings.withColumn("_e", F.greatest("end", F.col("start") + 1))
     w = words.select(F.col("page_id").alias("_p"), F.col("start").alias("ws"), F.col("end").alias("we"), F.col("confidence").alias("wc"))
-    pairs = f.join(w, (f["page_id"] == F.col("_p")) & (F.col("we") >= f["start"] - 2) & (F.col("ws") <= F.col("_e") + 2), "left")
+    pairs = f.join(w, (f["page_id"] == F.col("_p")) & (F.col("we") >= f["start"] - 2) & (F.col("ws") <= f["end"] + 2), "left")
     over = (F.col("we") > F.col("start")) & (F.col("ws") < F.col("_e"))
     near = pairs.groupBy("page_id", "finding_id").agg(
         F.min(F.when(over, F.col("wc"))).alias("c"),
         F.max_by("wc", F.when(F.col("we") <= F.col("start"), F.col("we"))).alias("before"),
-        F.min_by("wc", F.when(F.col("ws") >= F.col("_e"), F.col("ws"))).alias("after"),
+        F.min_by("wc", F.when(F.col("ws") >= F.col("end"), F.col("ws"))).alias("after"),
     )
     return findings.join(near.select("page_id", "finding_id", F.coalesce("c", F.least("before", "after")).alias("confidence")), ["page_id", "finding_id"], "left")
 
 
 def covered(findings: DataFrame, others: DataFrame) -> DataFrame:
-    """Findings of a page whose range, one wide at least, overlaps one of others."""
-    o = others.select("page_id", F.col("start").alias("os"), F.greatest("end", F.col("start") + 1).alias("oe"))
-    on = (findings["page_id"] == o["page_id"]) & (findings["start"] < o["oe"]) & (F.greatest(findings["end"], findings["start"] + 1) > o["os"])
+    """Findings of a page (page_id, start, end, block_id) whose range, one wide at least, overlaps one of others. Two known blocks that differ keep
+    ranges apart."""
+    o = others.select("page_id", F.col("start").alias("os"), F.greatest("end", F.col("start") + 1).alias("oe"), F.nullif("block_id", F.lit("")).alias("ob"))
+    on = (findings["page_id"] == o["page_id"]) & (findings["start"] < o["oe"]) & (F.greatest(findings["end"], findings["start"] + 1) > o["os"]) & F.coalesce(F.nullif(findings["block_id"], F.lit("")) == o["ob"], F.lit(True))
     return findings.join(o, on, "left_semi")
 
 

@@ -153,7 +153,7 @@ def _plain_projection(spark, d):
     return read(spark, d, "documents").select(F.col("source").alias("book_id"), F.concat(F.lit("p"), "doc_id").alias("page_id"), F.col("doc_id").alias("page_number"), "text", F.array().cast(f"array<{D.RUN_TYPE}>").alias("anchors"))
 
 
-@query(r"SELECT doc_id AS page_number, len(regexp_extract_all(text, '\p{Ll}\.\p{Lu}')) + len(regexp_extract_all(text, '\p{L}\p{Nd}')) AS findings FROM documents WHERE regexp_matches(text, '\p{Ll}\.\p{Lu}|\p{L}\p{Nd}')")
+@query(rf"SELECT doc_id AS page_number, len(regexp_extract_all(text, '\p{{Ll}}\.\p{{Lu}}')) + len(regexp_extract_all(text, '\p{{L}}{D.digit_class()}')) AS findings FROM documents WHERE regexp_matches(text, '\p{{Ll}}\.\p{{Lu}}|\p{{L}}{D.digit_class()}')")
 def q55_boundary_findings(spark, d):
     return D.boundary_findings(_plain_projection(spark, d)).groupBy("page_number").agg(F.count("*").alias("findings"))
 

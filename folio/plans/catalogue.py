@@ -243,9 +243,9 @@ def q25_review_status(spark, d):
     return r.groupBy(state.alias("state")).agg(F.count("*").alias("pages"))
 
 
-@query(r"SELECT doc_id, len(regexp_extract_all(text, '\p{L}\p{Nd}')) AS letter_digit, len(regexp_extract_all(text, '\p{Ll}\.\p{Lu}')) AS sentence_joint FROM documents")
+@query(rf"SELECT doc_id, len(regexp_extract_all(text, '\p{{L}}{D.digit_class()}')) AS letter_digit, len(regexp_extract_all(text, '\p{{Ll}}\.\p{{Lu}}')) AS sentence_joint FROM documents")
 def q26_suspicious_boundaries(spark, d):
-    return read(spark, d, "documents").select("doc_id", F.regexp_count("text", F.lit(r"\p{L}\p{Nd}")).cast("long").alias("letter_digit"), F.regexp_count("text", F.lit(r"\p{Ll}\.\p{Lu}")).cast("long").alias("sentence_joint"))
+    return read(spark, d, "documents").select("doc_id", F.regexp_count("text", F.lit(r"\p{L}" + D.digit_class())).cast("long").alias("letter_digit"), F.regexp_count("text", F.lit(r"\p{Ll}\.\p{Lu}")).cast("long").alias("sentence_joint"))
 
 
 @query("""WITH r AS (SELECT l_orderkey, l_linenumber, ['replacement', 'punctuation', 'character'][l_partkey % 3 + 1] AS kind, ['heading', 'paragraph', 'other'][l_suppkey % 3 + 1] AS role, CASE WHEN l_partkey % 4 = 0 THEN 'ab' ELSE 'abcd' END AS t, CASE WHEN l_suppkey % 10 <> 0 THEN 80 + l_quantity % 20 END AS c, l_partkey % 13 = 0 AS cov, l_partkey % 17 = 0 AS dia FROM lineitem),
@@ -275,25 +275,27 @@ def q28_word_offsets(spark, d):
     return _words(spark, d).select("page_id", "word_no", "start", "end")
 
 
-_FIND = "f AS (SELECT doc_id AS page_id, doc_id AS finding_id, (doc_id % 40)::INTEGER AS start, (doc_id % 40 + doc_id % 9)::INTEGER AS \"end\" FROM documents)"
+#: Places all over the texts; some findings are empty ranges, and some of no known block.
+_FIND = "f AS (SELECT doc_id AS page_id, doc_id AS finding_id, (doc_id * 7919 % greatest(length(text), 1))::INTEGER AS start, (doc_id * 7919 % greatest(length(text), 1) + doc_id % 9)::INTEGER AS \"end\", CASE WHEN doc_id % 3 > 0 THEN 'b' || doc_id % 3 END AS block_id FROM documents)"
 
 
 def _findings(spark, d):
-    at = (F.col("doc_id") % 40).cast("int")
-    return read(spark, d, "documents").select(F.col("doc_id").alias("page_id"), F.col("doc_id").alias("finding_id"), at.alias("start"), (at + F.col("doc_id") % 9).cast("int").alias("end"))
+    at = (F.col("doc_id") * 7919 % F.greatest(F.length("text"), F.lit(1))).cast("int")
+    block = F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit("b"), (F.col("doc_id") % 3).cast("string")))
+    return read(spark, d, "documents").select(F.col("doc_id").alias("page_id"), F.col("doc_id").alias("finding_id"), at.alias("start"), (at + F.col("doc_id") % 9).cast("int").alias("end"), block.alias("block_id"))
 
 
 @query(f"""WITH {_WORDS}, {_FIND}, g AS (SELECT *, greatest("end", start + 1) AS e FROM f),
 a AS (SELECT g.page_id, g.finding_id, min(w.confidence) FILTER (WHERE w."end" > g.start AND w.start < g.e) AS c,
- arg_max(w.confidence, w."end") FILTER (WHERE w."end" <= g.start AND g.start - w."end" <= 2) AS b, arg_min(w.confidence, w.start) FILTER (WHERE w.start >= g.e AND w.start - g.e <= 2) AS n FROM g LEFT JOIN w ON w.page_id = g.page_id GROUP BY ALL)
+ arg_max(w.confidence, w."end") FILTER (WHERE w."end" <= g.start AND g.start - w."end" <= 2) AS b, arg_min(w.confidence, w.start) FILTER (WHERE w.start >= g."end" AND w.start - g."end" <= 2) AS n FROM g LEFT JOIN w ON w.page_id = g.page_id GROUP BY ALL)
 SELECT page_id, finding_id, coalesce(c, least(b, n)) AS confidence FROM a""")
 def q29_interval_confidence(spark, d):
     return V.supported(_findings(spark, d), _words(spark, d)).select("page_id", "finding_id", "confidence")
 
 
-@query(f"""WITH {_WORDS}, {_FIND} SELECT f.page_id, f.finding_id FROM f WHERE EXISTS (SELECT 1 FROM w WHERE w.page_id = f.page_id AND f.start < greatest(w."end", w.start + 1) AND greatest(f."end", f.start + 1) > w.start)""")
+@query(f"""WITH {_WORDS}, {_FIND} SELECT f.page_id, f.finding_id FROM f WHERE EXISTS (SELECT 1 FROM w WHERE w.page_id = f.page_id AND f.start < greatest(w."end", w.start + 1) AND greatest(f."end", f.start + 1) > w.start AND coalesce(CASE WHEN w.start % 3 > 0 THEN 'b' || w.start % 3 END = f.block_id, TRUE))""")
 def q30_overlap_semijoin(spark, d):
-    return V.covered(_findings(spark, d), _words(spark, d).select("page_id", "start", "end")).select("page_id", "finding_id")
+    return V.covered(_findings(spark, d), _words(spark, d).select("page_id", "start", "end", F.when(F.col("start") % 3 > 0, F.concat(F.lit("b"), (F.col("start") % 3).cast("string"))).alias("block_id"))).select("page_id", "finding_id")
 
 
 @query("""WITH e AS (SELECT doc_id, text, length(text) AS n FROM documents)

@@ -34,8 +34,8 @@ def whole_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
 
 
 def _below(path: Column, n: int) -> Column:
-    """The folder n levels above a file."""
-    return F.element_at(F.split(path, "/"), -1 - n)
+    """The folder n levels above a file, whose path is that of a URI."""
+    return F.url_decode(F.replace(F.element_at(F.split(path, "/"), -1 - n), F.lit("+"), F.lit("%2B")))
 
 
 def document_hashes(spark: SparkSession, path: str) -> DataFrame:

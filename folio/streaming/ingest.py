@@ -22,20 +22,26 @@ def arriving(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> D
     return files.select(book.alias("book_id"), F.concat(book, F.lit(":page:"), F.format_string("%04d", number)).alias("page_id"), number.alias("page_number"), F.col("value").alias("raw"), F.col("_metadata.file_modification_time").alias("arrived"))
 
 
+def take(batch: DataFrame, number: int, out: str) -> None:
+    """Judges the pages of a batch and keeps them below out."""
+    judged = normalized(batch).withColumn("batch", F.lit(number))
+    judged.persist()
+    try:
+        # A batch writes its own folder, so writing it again replaces it.
+        judged.where("size(violations) = 0").select("book_id", "page_id", "page_number", "arrived", "batch", "page").write.mode("overwrite").parquet(f"{out}/pages/run={number:09d}")
+        judged.where("size(violations) > 0").select("book_id", "page_id", "page_number", "arrived", "batch", "violations", "raw").write.mode("overwrite").parquet(f"{out}/quarantine/run={number:09d}")
+    finally:
+        judged.unpersist()
+
+
 def ingest(pages: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Starts a query that takes in everything that is there and stops; run it again for what came since."""
+    return pages.writeStream.foreachBatch(lambda batch, number: take(batch, number, out)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
 
-    def take(batch: DataFrame, number: int) -> None:
-        judged = normalized(batch).withColumn("batch", F.lit(number))
-        judged.persist()
-        try:
-            # A batch writes its own folder, so writing it again replaces it.
-            judged.where("size(violations) = 0").select("book_id", "page_id", "page_number", "arrived", "batch", "page").write.mode("overwrite").parquet(f"{out}/pages/run={number:09d}")
-            judged.where("size(violations) > 0").select("book_id", "page_id", "page_number", "arrived", "batch", "violations", "raw").write.mode("overwrite").parquet(f"{out}/quarantine/run={number:09d}")
-        finally:
-            judged.unpersist()
-
-    return pages.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def books_of_batch(spark: SparkSession, out: str, number: int) -> DataFrame:
+    """Books with an accepted page of a batch."""
+    return spark.read.parquet(f"{out}/pages/run={number:09d}").select("book_id").distinct()
 
 
 def current_pages(spark: SparkSession, out: str) -> DataFrame:

@@ -135,3 +135,35 @@ def test_contract(spark):
     rows = [('{"k": 1}',), ('{"k": true}',), ('{"k": 1, "x": 2}',), ("{}",), ("[1",)]
     got = [r.v for r in spark.createDataFrame(rows, "j string").select(C.violations(F.col("j"), {"k": "BIGINT"}).alias("v")).collect()]
     assert got == [[], ["type k"], ["extra x"], ["missing k"], ["not an object"]]
+
+
+def test_support_of_ranges(spark):
+    """The least of what overlaps, a range being one wide at least; else the nearest within 2 before the start and behind the end."""
+    words = spark.createDataFrame([("p", 0, 5, 90.0), ("p", 6, 9, 40.0), ("p", 20, 24, 70.0), ("q", 0, 40, 1.0)], "page_id string, start int, end int, confidence double")
+    places = [(3, 7), (5, 5), (9, 9), (11, 12), (12, 12), (17, 17), (18, 18), (18, 19), (22, 22), (26, 30), (27, 30), (None, None), (0, 40)]
+    found = spark.createDataFrame([("p", i, a, b) for i, (a, b) in enumerate(places)], "page_id string, finding_id int, start int, end int")
+    got = {places[r.finding_id]: r.confidence for r in V.supported(found, words).collect()}
+    ws = [(0, 5, 90.0), (6, 9, 40.0), (20, 24, 70.0)]
+    for (a, b), c in got.items():
+        if a is None:
+            assert c is None
+            continue
+        near = [w[2] for w in ws if w[1] > a and w[0] < max(b, a + 1)]
+        if not near:
+            before, after = max((w for w in ws if w[1] <= a), key=lambda w: w[1], default=None), min((w for w in ws if w[0] >= b), key=lambda w: w[0], default=None)
+            near = [w[2] for w, gap in ((before, a - before[1] if before else 9), (after, after[0] - b if after else 9)) if w and gap <= 2]
+        assert c == (min(near) if near else None), (a, b)
+
+
+def test_cover_needs_one_block(spark):
+    rows = lambda *r: spark.createDataFrame([(i, "p", a, b, k) for i, (a, b, k) in enumerate(r)], "finding_id int, page_id string, start int, end int, block_id string")
+    mine = rows((0, 4, "a"), (0, 4, "b"), (0, 4, None), (0, 4, ""), (6, 6, "a"), (5, 5, "a"))
+    assert sorted(r.finding_id for r in V.covered(mine, rows((3, 5, "a"), (6, 7, ""))).collect()) == [0, 2, 3, 4]
+
+
+def test_digits_behind_letters(spark):
+    texts = {"word¹ x²": [4, 7], "a1 b① c٣ d½ e⅓": [1, 4, 7], "end.Start ok.no": [4], "x": [], "": [], "H₂O": [1]}
+    want = lambda t: [i for i in range(1, len(t)) if t[i - 1].isalpha() and t[i].isdigit() or i >= 2 and t[i - 1] == "." and t[i - 2].islower() and t[i].isupper()]
+    assert all(want(t) == v for t, v in texts.items())
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.p for r in rows.select("t", D.boundary_places(F.col("t")).alias("p")).collect()} == texts
