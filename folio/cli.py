@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.operators import analyzer, findings, golden, packaging, rendering, review
+from folio.operators import analyzer, findings, golden, packaging, rendering, report, review, reviewcache
 from folio.sources import files
 
 TABLES = ("nodes", "relationships", "resolved", "furniture", "unresolved", "candidates")
@@ -134,7 +134,7 @@ def review_text(spark: SparkSession, a: argparse.Namespace) -> int:
     piece = F.struct("start", F.concat(F.when(F.col("start") > F.coalesce(F.lag("end").over(_by_page()), F.lit(0)), " ").otherwise(""), "word").alias("t"))
     readings = words.select("book_id", "page_id", piece.alias("p")).groupBy("book_id", "page_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["t"]), "").alias("reading"))
     projected = _write(findings.projections(pages), a.out, "projections")
-    differences = findings.difference_findings(projected, readings)
+    differences = _differences(spark, a, projected, readings)
     heuristic = _write(findings.boundary_findings(projected), a.out, "heuristic")
     # Ids of findings are a page's; with the book they are one of all.
     keyed = lambda df: df.withColumn("page_id", F.to_json(F.struct("book_id", "page_id")))
@@ -149,11 +149,33 @@ def review_text(spark: SparkSession, a: argparse.Namespace) -> int:
     judged = _write(judged.withColumn("reason", reason), a.out, "judged")
     kept = judged.where("reason is null").select(*findings.FINDING).unionByName(heuristic.select(*findings.FINDING))
     _write(kept, a.out, "findings")
+    shown = kept.join(judged.select("book_id", "finding_id", "confidence"), ["book_id", "finding_id"], "left")
+    _write(report.page_reports(projected, readings, shown, judged.where("reason is not null")), a.out, "reports")
     for r in findings.review_summary(kept, judged.where("reason is not null")).orderBy("book_id").collect():
         print(json.dumps(r.asDict(), ensure_ascii=False))
     return 0
 
 
+def _differences(spark: SparkSession, a: argparse.Namespace, projected: DataFrame, readings: DataFrame) -> DataFrame:
+    """Differences of all pages with a reading: from the cache where neither text nor anchors nor reading have changed, else computed
+    and put there."""
+    cache = a.cache or f"{a.out}/cache"
+    both = projected.join(readings, ["book_id", "page_id"])
+    inputs = [F.col("book_id"), F.col("page_id"), F.col("page_number"), F.col("text"), F.to_json("anchors", {"ignoreNullFields": "false"}), F.col("reading")]
+    printed = reviewcache.with_fingerprint(both, *inputs)
+    kind = findings.difference_findings(projected.limit(0), readings.limit(0)).schema
+    names, row = kind.names, f"array<{kind.simpleString()}>"
+    pages = _write(reviewcache.found(printed, reviewcache.entries(spark, cache), row), a.out, "inputs")
+    todo = pages.where("result is null")
+    made = findings.difference_findings(todo.select(*projected.columns), todo.select("book_id", "page_id", "reading"))
+    grouped = made.groupBy("book_id", "page_id").agg(F.collect_list(F.struct(*names)).alias("made"))
+    results = _write(todo.select("book_id", "page_id", "fingerprint").join(grouped, ["book_id", "page_id"], "left").select("fingerprint", F.coalesce("made", F.array().cast(row)).alias("result")), a.out, "computed")
+    reviewcache.store(results, cache)
+    print(json.dumps({"pages": pages.count(), "computed": results.count()}))
+    every = pages.where("result is not null").select("result").unionByName(results.select("result"))
+    return every.select(F.explode("result").alias("f")).select("f.*")
+
+
 def _by_page():
     from pyspark.sql import Window
 
@@ -229,7 +251,9 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--validate", action="store_true")
     action("validate-epub", validate_epub, "epubs")
     action("prepare-proof", prepare_proof, "ready", "proof").add_argument("--force", action="store_true")
-    action("review-text", review_text, "runs", "out").add_argument("--min-confidence", type=float, default=0.0)
+    text = action("review-text", review_text, "runs", "out")
+    text.add_argument("--min-confidence", type=float, default=0.0)
+    text.add_argument("--cache", help="folder of earlier results; that of the review by default")
     action("import-review", import_review, "review", "decisions")
     for p in (action("review-status", review_status, "runs", "review"), action("evaluate-golden", evaluate_golden, "root")):
         p.add_argument("--format", choices=("text", "json"), default="text")

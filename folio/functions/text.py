@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,9 +15,19 @@ def collapse(text: Column) -> Column:
 
 
 def fold(text: Column) -> Column:
-    """A key that takes upper and lower case for the same. Of full case folding, it has lower case, ss for ß and one
-    form of sigma; other foldings of one letter to several are not made."""
-    return F.replace(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
+    """A key that takes upper and lower case for the same: full case folding, as str.casefold() has it."""
+    single, several = foldings()
+    wide = F.translate(text, "".join(single), "".join(single.values()))
+    for letter, folded in several.items():
+        wide = F.replace(wide, F.lit(letter), F.lit(folded))
+    return F.when(text.rlike(r"^[\x00-\x7F]*\z"), F.lower(text)).when(text.rlike("[" + "".join(several) + "]"), wide).otherwise(F.translate(text, "".join(single), "".join(single.values())))
+
+
+@cache
+def foldings() -> tuple[dict[str, str], dict[str, str]]:
+    """Letters that fold to one other letter, and those that fold to several; no folded text folds again."""
+    changed = {c: f for c in map(chr, range(sys.maxunicode + 1)) if (f := c.casefold()) != c}
+    return {c: f for c, f in changed.items() if len(f) == 1}, {c: f for c, f in changed.items() if len(f) > 1}
 
 
 def ends_sentence(text: Column) -> Column:

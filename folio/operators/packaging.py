@@ -212,6 +212,20 @@ def packaged(books: DataFrame, documents: DataFrame, entries: DataFrame, assets:
     return archives(container.unionByName(member(opf, "EPUB/package.opf", 2)).unionByName(member(nav, "EPUB/nav.xhtml", 3)).unionByName(rest))
 
 
+def plain_path(path: Column) -> Column:
+    """A path without . and empty parts, and without folders that it leaves again; what leaves the root begins with .. still, and an absolute path
+    with /."""
+    none = F.array().cast("array<string>")
+    stack = F.aggregate(
+        F.split(path, "/"),
+        none,
+        lambda done, part: F.when(part.isin("", "."), done)
+        .when((part == "..") & (F.size(done) > 0) & (F.coalesce(F.element_at(done, -1), F.lit("..")) != ".."), F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.concat(done, F.array(part))),
+    )
+    return F.concat(F.when(path.startswith("/"), "/").otherwise(""), F.array_join(stack, "/"))
+
+
 def link_problems(links: DataFrame, ids: DataFrame, documents: DataFrame) -> DataFrame:
     """links (book_id, source, href, navigation) that lead nowhere, with problem. ids (book_id, file, id), documents (book_id, file).
 
@@ -221,10 +235,7 @@ def link_problems(links: DataFrame, ids: DataFrame, documents: DataFrame) -> Dat
     external = F.lower("href").rlike("^(https?|mailto|tel):")
     path, fragment = F.substring_index("href", "#", 1), F.when(F.col("href").contains("#"), F.regexp_extract("href", "#(.*)", 1))
     folder = F.regexp_extract("source", r"^(.*/)?[^/]*\z", 1)
-    full = F.regexp_replace(F.concat(folder, path), r"(^|/)(\./)+", "$1")
-    # Folders that a path leaves again.
-    for _ in range(4):
-        full = F.regexp_replace(full, r"(^|/)(?!\.\./)[^/]+/\.\./", "$1")
+    full = plain_path(F.concat(folder, path))
     rows = links.where(F.col("navigation") | ~external).withColumn("file", F.when(path == "", F.col("source")).otherwise(full)).withColumn("id", fragment)
     there = documents.select("book_id", "file", F.lit(True).alias("_doc")).distinct()
     known = ids.select("book_id", "file", "id", F.lit(True).alias("_id")).distinct()
