@@ -73,6 +73,7 @@ def node_json(nodes: DataFrame) -> Column:
 
 def document_json(nodes: DataFrame, relationships: DataFrame) -> DataFrame:
     """(book_id, document) of analysed books, nodes in reading order and relationships by their id. A book is one row, as it is one file.
+    The format has no text for the image of a figure.
     Raises ValueError for nodes of a type that has no JSON."""
     rows = nodes.select("book_id", "node_pos", "node_type", node_json(nodes).alias("json"))
     bad = rows.where("json is null").select("book_id", "node_type").limit(5).collect()

@@ -1,8 +1,8 @@
 """Text review from pages to corrected pages: projections with anchors, findings, decisions, corrections.
 
 A projection is a page's readable text with runs of anchors: which span, from which offset on, stands at which place of
-the text. Finding differences is the one step that needs Python (the standard library's matcher, whose opcodes are part of
-the semantics); it runs in Arrow batches, a page at a time. Joins, states and checks are DataFrame operations.
+the text. Finding differences is the one step that needs Python (matching.py, whose blocks are those of the standard
+library's matcher); it runs in Arrow batches, a page at a time. Joins, states and checks are DataFrame operations.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 import sys
 import unicodedata
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 from functools import cache
 
 import pandas as pd
@@ -19,13 +18,12 @@ from pyspark.sql import functions as F
 
 from folio.functions.text import padded
 from folio.operators.evidence import BLOCK_TYPE
+from folio.operators.matching import changed
 from folio.operators.review import BRIDGE, difference_kind, severity
 
 UNREVIEWED = ("image", "page_header", "page_footer", "page_number")
 DECISIONS = ("keep_source", "use_ocr", "use_suggestion", "manual")
 RUN_TYPE = "struct<start:int,end:int,block_id:string,span_id:string,span_offset:int,block_role:string>"
-#: Texts whose lengths multiply to more are aligned by words first; only stretches between equal words are matched by character.
-WHOLE_PRODUCT = 16_000_000
 
 
 def _projected(page_id: str, blocks: list[dict]) -> tuple[str, list[tuple]]:
@@ -126,32 +124,9 @@ def _joined(ops: Iterator[tuple[int, int, int, int]], mine: str) -> list[tuple[i
 
 
 def matched(mine: str, other: str) -> tuple[float, list[tuple[int, int, int, int]]]:
-    """Ratio and joined changed ranges. Very long texts are aligned by words first, which keeps the time in bounds; their
-    ranges are those of the characters between equal words, and the ratio is of these."""
-    if len(mine) * len(other) <= WHOLE_PRODUCT:
-        m = SequenceMatcher(None, mine, other, autojunk=False)
-        return m.ratio(), _joined(((a, b, c, d) for tag, a, b, c, d in m.get_opcodes() if tag != "equal"), mine)
-    cut = lambda t: t.replace(" ", " \0").split("\0")
-    x, y = cut(mine), cut(other)
-    px, py = [0], [0]
-    for parts, at in ((x, px), (y, py)):
-        for w in parts:
-            at.append(at[-1] + len(w))
-    ops, equal = [], 0
-    for tag, a, b, c, d in SequenceMatcher(None, x, y, autojunk=True).get_opcodes():
-        if tag == "equal":
-            equal += px[b] - px[a]
-            continue
-        s, t = mine[px[a] : px[b]], other[py[c] : py[d]]
-        if len(s) * len(t) > WHOLE_PRODUCT:
-            ops.append((px[a], px[b], py[c], py[d]))
-            continue
-        for tag2, e, f, g, h in SequenceMatcher(None, s, t, autojunk=False).get_opcodes():
-            if tag2 == "equal":
-                equal += f - e
-            else:
-                ops.append((px[a] + e, px[a] + f, py[c] + g, py[c] + h))
-    return 2.0 * equal / (len(mine) + len(other)), _joined(iter(ops), mine)
+    """Ratio and joined changed ranges of texts of any length."""
+    ratio, ops = changed(mine, other)
+    return ratio, _joined(iter(ops), mine)
 
 
 def compared(pairs: DataFrame) -> DataFrame:

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from folio.functions import text as T
 from folio.operators import analyzer as A
+from folio.operators import documents as J
 from folio.operators import evidence as E
 from folio.operators import findings as D
 from folio.operators import packaging as K
 from folio.operators import rendering as X
+from folio.operators import report as P
 from folio.operators import runtime as R
 from folio.plans.catalogue import query, read
 from folio.sources import files as S
@@ -359,3 +361,65 @@ SELECT f.source AS book_id, count(*) AS findings, count(*) FILTER (WHERE k <> 0)
 def q69_review_summary(spark, d):
     rows = read(spark, d, "documents").select(F.col("source").alias("book_id"), F.floor(F.col("doc_id") / 3).alias("page_id"), F.when(F.col("n_chars") % 3 == 0, "heuristic").otherwise("local_ocr").alias("source"), (F.col("n_chars") % 3).cast("string").alias("reason"), "n_chars")
     return D.review_summary(rows.where("n_chars % 4 <> 0"), rows.where("n_chars % 4 = 0")).select("book_id", "findings", "from_ocr", "from_heuristics", "pages_with_findings", "suppressed").where("findings > 0")
+
+
+#: A book is a document, as a book's document is one row.
+_OF_DOCUMENTS = _PLACED.replace("SELECT source AS book_id", "SELECT 'p' || doc_id AS book_id")
+
+
+@query(f"WITH {_OF_DOCUMENTS} SELECT book_id, node_id, node_type, blocks, TRUE AS same FROM nodes")
+def q70_document_round_trip(spark, d):
+    """Nodes written as the JSON of their book and read again; the format has no text of images."""
+    pages = typed_pages(spark, d).withColumn("book_id", F.col("page.page_id"))
+    made = A.nodes(A.positions(A._blocks(A.ordered_pages(pages))))
+    made = made.withColumn("children", F.transform("children", lambda c: F.when(c["node_type"] == "image", c.withField("spans", F.slice(c["spans"], 1, 0))).otherwise(c)))
+    none = spark.createDataFrame([], "book_id string, relationship_id string, kind string, source_id string, target_id string, confidence double, reasons array<string>")
+    text = lambda df: df.select("book_id", "node_id", "node_type", F.size("provenance").cast("long").alias("blocks"), F.to_json(F.struct(*J.NODE[2:]), {"ignoreNullFields": "false"}).alias("j"))
+    again = text(J.document_nodes(J.document_json(made, none)))
+    return again.join(text(made).select("book_id", "node_id", F.col("j").alias("_j")), ["book_id", "node_id"], "left").select("book_id", "node_id", "node_type", "blocks", F.coalesce(F.col("j") == F.col("_j"), F.lit(False)).alias("same"))
+
+
+_RANGES = "r AS (SELECT doc_id, length(text) AS n, k, (doc_id * 31 * (k + 1)) % (length(text) + 3) - 1 AS s, (doc_id * 31 * (k + 1)) % (length(text) + 3) - 1 + (doc_id * (k + 3)) % 90 AS e FROM documents, (SELECT unnest(range(4)) AS k) WHERE text IS NOT NULL)"
+
+
+@query(f"""WITH {_RANGES}, h AS (SELECT doc_id, n, k, greatest(0, least(s, n)) AS s, greatest(greatest(0, least(s, n)), least(e, n)) AS e FROM r),
+c AS (SELECT doc_id, s AS p FROM h UNION SELECT doc_id, e FROM h UNION SELECT doc_id, 0 FROM h UNION SELECT doc_id, n FROM h),
+g AS (SELECT doc_id, p AS a, lead(p) OVER (PARTITION BY doc_id ORDER BY p) AS b FROM c)
+SELECT g.doc_id, a::INTEGER AS start, b::INTEGER AS stop, (SELECT count(*) FROM h WHERE h.doc_id = g.doc_id AND h.s <= g.a AND h.e >= g.b) AS findings FROM g WHERE b IS NOT NULL""")
+def q71_report_segments(spark, d):
+    """Texts cut by four ranges each that overlap, reach over the ends, or are empty."""
+    doc, n = F.col("doc_id"), F.length("text")
+    start = lambda k: (doc * 31 * (k + 1)) % (n + 3) - 1
+    ranges = F.array(*(F.struct(start(k).cast("int").alias("start"), (start(k) + doc * (k + 3) % 90).cast("int").alias("end"), F.lit(f"f{k}").alias("id")) for k in range(4)))
+    rows = read(spark, d, "documents").where("text is not null").select("doc_id", F.explode(P.segments(n, ranges)).alias("s"))
+    return rows.select("doc_id", "s.start", F.col("s.end").alias("stop"), F.size("s.ids").cast("long").alias("findings"))
+
+
+@query("SELECT doc_id, md5(replace(replace(lower(text), 'ß', 'ss'), 'ς', 'σ')) AS folded FROM documents")
+def q72_folded_texts(spark, d):
+    return read(spark, d, "documents").select("doc_id", F.md5(T.fold(F.col("text")).cast("binary")).alias("folded"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 40 >= doc_id % 51 THEN repeat('d/', (doc_id % 40 - doc_id % 51)::INTEGER) ELSE repeat('../', (doc_id % 51 - doc_id % 40)::INTEGER) END || source AS path FROM documents")
+def q73_plain_paths(spark, d):
+    """Paths of up to 39 folders that up to 50 steps lead out of, with empty and idle parts."""
+    doc = F.col("doc_id")
+    raw = F.concat(F.repeat(F.lit("d/"), (doc % 40).cast("int")), F.lit(".//"), F.repeat(F.lit("../"), (doc % 51).cast("int")), F.lit("./"), "source")
+    return read(spark, d, "documents").select("doc_id", K.plain_path(F.when(doc % 40 == 0, F.substring(raw, F.lit(4), F.length(raw))).otherwise(raw)).alias("path"))
+
+
+@query("""SELECT source AS book_id, count(*) AS pages, count(*) FILTER (WHERE n_chars > 900 AND doc_id % 3 = 0) AS text, count(*) FILTER (WHERE n_chars <= 900 AND doc_id % 3 > 0) AS image_only,
+count(*) FILTER (WHERE n_chars > 900 AND doc_id % 3 > 0) AS mixed, count(*) FILTER (WHERE n_chars <= 900 AND doc_id % 3 = 0) AS blank FROM documents GROUP BY source""")
+def q74_source_composition(spark, d):
+    rows = read(spark, d, "documents").select(F.col("source").alias("book_id"), F.greatest(F.col("n_chars") - 900, F.lit(0)).alias("text_length"), (F.col("doc_id") % 3).alias("images"))
+    return S.composition(rows, ["book_id"])
+
+
+@query("""WITH e AS (SELECT doc_id, source, lang, n_chars FROM documents WHERE doc_id % 4 <> 0)
+SELECT d.doc_id AS page_id, coalesce(e.doc_id IS NOT NULL AND d.doc_id % 5 <> 0 AND d.doc_id % 6 <> 0 AND (d.doc_id % 7 <> 0 OR d.doc_id % 2 = 1), FALSE) AS reuse FROM documents d LEFT JOIN e USING (doc_id)""")
+def q75_same_extraction(spark, d):
+    """Pages of which some have no earlier run, another hash, another prompt, another model, or a recovered text."""
+    doc = F.col("doc_id")
+    rows = read(spark, d, "documents").select(F.col("source").alias("book_id"), doc.alias("page_id"), F.md5(F.col("text").cast("binary")).alias("page_sha256"), F.lit("d").alias("document_sha256"), F.lit("p").alias("prompt_name"), F.lit("5").alias("prompt_version"), F.lit("s").alias("schema_name"), F.lit("5").alias("schema_version"))
+    was = rows.where("page_id % 4 <> 0").withColumns({"page_sha256": F.when(F.col("page_id") % 5 == 0, "other").otherwise(F.col("page_sha256")), "prompt_version": F.when(F.col("page_id") % 6 == 0, "4").otherwise("5"), "model": F.when(F.col("page_id") % 7 == 0, "old").otherwise("new"), "recovery": F.when(F.col("page_id") % 2 == 1, "local_ocr_recitation")})
+    return R.same_extraction(rows, was, "new").select("page_id", "reuse")

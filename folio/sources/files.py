@@ -39,7 +39,7 @@ def _below(path: Column, n: int) -> Column:
 
 
 def document_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """(uri, sha256, size) of binary files. A file is read by one task and may have up to 2 GB."""
+    """(uri, sha256, size) of binary files. A file is read by one task and may have up to 2 GB; an empty one gives no row."""
     return spark.read.format("binaryFile").load(path).select(F.col("path").alias("uri"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
 
 
