@@ -7,16 +7,18 @@ alone. Exit status is 0, 1 if what was asked about isn't as it should be, and 2
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 import sys
+from functools import reduce
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.operators import analyzer, findings, golden, packaging, rendering, report, review, reviewcache
-from folio.sources import files
+from folio.operators import analyzer, extraction, findings, golden, packaging, rendering, report, review, reviewcache, runtime
+from folio.sources import files, pageruns
 
 TABLES = ("nodes", "relationships", "resolved", "furniture", "unresolved", "candidates")
 
@@ -47,6 +49,59 @@ def _pages(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return pages if edits is None else findings.corrected_pages(pages, edits)
 
 
+def _plugin(name: str):
+    module, _, function = name.partition(":")
+    try:
+        return getattr(importlib.import_module(module), function)
+    except (ImportError, AttributeError) as e:
+        raise ValueError(f"no plug-in {name}: {e}") from e
+
+
+def page_images(spark: SparkSession, folder: str) -> DataFrame:
+    """(book_id, page_number, page_id, uri, image) of <folder>/<book>/<number>.<extension>."""
+    rows = spark.read.format("binaryFile").option("pathGlobFilter", "*[0-9].*").load(f"{folder}/*/*")
+    part = F.split("path", "/")
+    book, number = F.element_at(part, -2), F.regexp_extract(F.element_at(part, -1), r"(\d+)\.[^.]*\z", 1).try_cast("int")
+    return rows.select(book.alias("book_id"), number.alias("page_number"), F.concat(book, F.lit(":page:"), F.format_string("%04d", number)).alias("page_id"), F.col("path").alias("uri"), F.col("content").alias("image")).where("page_number > 0")
+
+
+def extract_book(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Extracts the page images of books by plug-ins, and publishes their runs; 1 if a page has none in the end."""
+    routes, plugins = [], {}
+    for text in a.route:
+        name, _, rest = text.partition("=")
+        tier, _, plugin = rest.partition("=")
+        routes.append({"name": name, "tier": tier, "max_attempts": 2 if tier == "paid" else 3})
+        plugins[name] = _plugin(plugin)
+    tasks = page_images(spark, a.images)
+    if a.page:
+        wanted = files.page_numbers(F.lit(a.page))
+        tasks = tasks.where(F.array_contains(wanted, F.col("page_number")))
+    tasks = tasks.withColumn("sha256", F.sha2("image", 256))
+    named = {"prompt": ("page-evidence", a.prompt_version), "schema": ("page-evidence", "5")}
+    manifest = F.try_parse_json("manifest")
+    at = lambda path: F.try_variant_get(manifest, path, "string")
+    same = reduce(lambda x, y: x & y, (at(f"$.{k}.{f}") == F.lit(v) for k, pair in named.items() for f, v in zip(("name", "version"), pair, strict=True)))
+    there = pageruns.scan(spark, a.runs, ["book_id", "page_number", "manifest"]).where(same).select("book_id", "page_number", at("$.source.sha256").alias("sha256"))
+    todo = tasks if a.force else tasks.join(there, ["book_id", "page_number", "sha256"], "left_anti")
+    done = extraction.extracted(todo, routes, plugins, lambda df, name: _write(df, a.out, name), a.policy, a.backoff, max(a.backoff, 8.0))
+    earlier = pageruns.scan(spark, a.runs, ["book_id", "page_number", "stored"]).select("book_id", "page_number", F.try_variant_get(F.try_parse_json("stored"), "$.dominant_language", "string").alias("language"))
+    done = extraction.with_recovery(done, _plugin(a.ocr), earlier) if a.ocr else done.withColumn("recovery_language", F.lit(None).cast("string"))
+    done = _write(done, a.out, "extracted")
+    text = lambda v: F.lit(v).cast("string")
+    kind = F.when(F.lower("uri").rlike(r"\.jpe?g\z"), "image/jpeg").when(F.lower("uri").endswith(".png"), "image/png")
+    source = F.struct(F.col("page_id").alias("source_id"), "uri", "sha256", kind.alias("media_type"), text(None).alias("document_sha256"))
+    info = F.struct(F.element_at(F.split("uri", "/"), -1).alias("file"), kind.alias("media_type"), "sha256", F.length("image").alias("byte_size"), F.lit(True).alias("preserved"))
+    pair = lambda k: F.struct(text(named[k][0]).alias("name"), text(named[k][1]).alias("version"))
+    records = pageruns.run_records(done.where(F.col("outcome") == extraction.SUCCEEDED).select("book_id", "page_number", "page", source.alias("source"), info.alias("asset_info"), pair("prompt").alias("prompt"), pair("schema").alias("schema"), "attempts", "recovery_language", "raw", F.col("image").alias("asset")))
+    pageruns.write_runs(records, a.runs)
+    status = tasks.select("book_id", "page_number").join(done.select("book_id", "page_number", "outcome"), ["book_id", "page_number"], "left")
+    counts = status.groupBy("book_id").agg(F.count("*").alias("selected"), F.count_if(F.col("outcome").isNull()).alias("reused"), *(F.count_if(F.col("outcome") == o).alias(o) for o in (extraction.SUCCEEDED, extraction.FAILED, extraction.NOT_REACHED))).orderBy("book_id").collect()
+    for r in counts:
+        print(json.dumps(r.asDict(), ensure_ascii=False))
+    return int(not counts or any(r.failed or r.not_reached for r in counts))
+
+
 def assemble_book(spark: SparkSession, a: argparse.Namespace) -> int:
     if getattr(a, "require_reviewed", False):
         findings.require_complete(spark.read.parquet(f"{a.review}/status"))
@@ -237,6 +292,14 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument(place)
         return p
 
+    extract = action("extract-book", extract_book, "images", "runs", "out")
+    extract.add_argument("--route", action="append", required=True, metavar="NAME=TIER=MODULE:FUNCTION", help="in the order in which they are tried")
+    extract.add_argument("--policy", choices=runtime.POLICIES, default="free-only")
+    extract.add_argument("--ocr", metavar="MODULE:FUNCTION", help="reads pages that a provider declines to recite")
+    extract.add_argument("--page", help="numbers such as 3,7-9; all by default")
+    extract.add_argument("--prompt-version", default="5")
+    extract.add_argument("--backoff", type=float, default=1.0)
+    extract.add_argument("--force", action="store_true", help="extract pages again that have a run of this image, prompt and schema")
     assemble, build = action("assemble-book", assemble_book, "runs", "out"), action("build-epub", build_epub, "runs", "out")
     render, package = action("render-xhtml", render_xhtml, "book", "out"), action("package-epub", package_epub, "ready", "out")
     for p in (assemble, build):

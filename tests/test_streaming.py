@@ -82,8 +82,9 @@ def files_below(folder):
     return {(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(folder) for f in names if not f.startswith((".", "_"))}
 
 
-def test_tables_of_touched_books(spark, tmp_path):
+def test_tables_of_touched_books(spark, tmp_path, monkeypatch):
     """Two batches: the second has pages of one of the two books."""
+    monkeypatch.setattr(V, "TABLES", ("nodes", "relationships", "furniture", "candidates"))
     folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     pages_of = lambda name: [(n, payload(block("page_header", "Head"), block("paragraph", f"{name} {n} and so"), block("footnote", span("1", vertical_position="superscript"), "note"))) for n in range(1, 6)]
     kept = None
@@ -109,17 +110,18 @@ def test_tables_of_touched_books(spark, tmp_path):
 
 def test_a_version_counts_when_it_is_whole(spark, tmp_path, monkeypatch):
     folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
-    arrive(folder, "a", 1, payload(block("paragraph", "One.")))
+    head = lambda n: payload(block("page_header", f"Head {n}"), block("paragraph", "One."))
+    arrive(folder, "a", 1, head(1))
+    monkeypatch.setattr(V, "TABLES", ("furniture",))
     V.follow(I.arriving(spark, str(folder)), out, state).awaitTermination()
-    arrive(folder, "a", 2, payload(block("paragraph", "Two.")))
-    whole = V.TABLES
-    monkeypatch.setattr(V, "TABLES", ("nodes", "none"))
+    arrive(folder, "a", 2, head(2))
+    monkeypatch.setattr(V, "TABLES", ("furniture", "none"))
     with pytest.raises(Exception, match="none"):
         V.follow(I.arriving(spark, str(folder)), out, state).awaitTermination()
-    assert [r.node_id for r in V.view(spark, out, "nodes").collect()] == ["a:page:0001:block:0001:node:paragraph"]
-    monkeypatch.setattr(V, "TABLES", whole)
+    assert [r.raw_text for r in V.view(spark, out, "furniture").collect()] == ["Head 1"]
+    monkeypatch.setattr(V, "TABLES", ("furniture",))
     V.follow(I.arriving(spark, str(folder)), out, state).awaitTermination()
-    assert V.view(spark, out, "nodes").count() == 2
+    assert V.view(spark, out, "furniture").count() == 2
 
 
 def test_progress(spark, tmp_path):
