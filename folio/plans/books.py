@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from folio.functions import text as T
 from folio.operators import analyzer as A
+from folio.operators import buildmanifest as B
 from folio.operators import documents as J
 from folio.operators import evidence as E
 from folio.operators import findings as D
@@ -423,3 +424,22 @@ def q75_same_extraction(spark, d):
     rows = read(spark, d, "documents").select(F.col("source").alias("book_id"), doc.alias("page_id"), F.md5(F.col("text").cast("binary")).alias("page_sha256"), F.lit("d").alias("document_sha256"), F.lit("p").alias("prompt_name"), F.lit("5").alias("prompt_version"), F.lit("s").alias("schema_name"), F.lit("5").alias("schema_version"))
     was = rows.where("page_id % 4 <> 0").withColumns({"page_sha256": F.when(F.col("page_id") % 5 == 0, "other").otherwise(F.col("page_sha256")), "prompt_version": F.when(F.col("page_id") % 6 == 0, "4").otherwise("5"), "model": F.when(F.col("page_id") % 7 == 0, "old").otherwise("new"), "recovery": F.when(F.col("page_id") % 2 == 1, "local_ocr_recitation")})
     return R.same_extraction(rows, was, "new").select("page_id", "reuse")
+
+
+def _tree_sql(levels: int) -> str:
+    out = []
+    for k in range(levels):
+        out.append(f"m{k + 1} AS (SELECT book_id, stage, place // 8 AS place, sha256(string_agg(digest, '' ORDER BY place)) AS digest FROM m{k} WHERE (book_id, stage) IN (SELECT (book_id, stage) FROM m{k} GROUP BY book_id, stage HAVING count(*) > 1) GROUP BY book_id, stage, place // 8)")
+    tops = " UNION ALL ".join(f"SELECT book_id, stage, any_value(digest) AS root FROM m{k} GROUP BY book_id, stage HAVING count(*) = 1" for k in range(levels + 1))
+    return ", ".join([*out, f"tops AS ({tops})"])
+
+
+#: For up to 8 ** 7 files of a stage.
+@query(f"""WITH f AS (SELECT source AS book_id, lang AS stage, 'd' || doc_id AS file, sha256(text) AS sha256, strlen(text) AS size FROM documents),
+m0 AS (SELECT book_id, stage, row_number() OVER (PARTITION BY book_id, stage ORDER BY file, sha256) - 1 AS place, sha256(concat_ws(chr(10), strlen(file)::VARCHAR, file, sha256)) AS digest FROM f), {_tree_sql(7)},
+b AS (SELECT book_id, sha256(string_agg(stage || ' ' || root, chr(10) ORDER BY stage)) AS book_root FROM tops GROUP BY book_id),
+c AS (SELECT book_id, stage, count(*) AS files, sum(size)::BIGINT AS bytes FROM f GROUP BY book_id, stage)
+SELECT c.*, root, book_root FROM c JOIN tops USING (book_id, stage) JOIN b USING (book_id)""")
+def q76_build_manifest(spark, d):
+    rows = read(spark, d, "documents").select(F.col("source").alias("book_id"), F.col("lang").alias("stage"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("file"), F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("size"))
+    return B.manifest(rows)

@@ -12,6 +12,7 @@ from test_cli import runs
 from folio import cli
 from folio.functions import text as T
 from folio.operators import analyzer as A
+from folio.operators import buildmanifest as B
 from folio.operators import documents as D
 from folio.operators import packaging as K
 from folio.operators import report as P
@@ -116,3 +117,19 @@ def test_plain_paths(spark):
         want = posixpath.normpath(p) if p else ""
         assert q == {".": "", "/..": "/.."}.get(want, want) or p.startswith("/")
     assert got["/.."] == "/.." and got["/a/../../b"] == "/../b" and got["a/" * 50 + "../" * 50 + "x"] == "x"
+
+
+def test_builds_are_compared_from_the_top(spark):
+    rng = random.Random(9)
+    rows = [(b, s, f"{i:03d}.xhtml", f"{b}{s}{i}", 1) for b, s, n in (("x", "text", 70), ("x", "nav", 1), ("y", "text", 9), ("z", "text", 8)) for i in range(n)]
+    kind = "book_id string, stage string, file string, sha256 string, size long"
+    before = spark.createDataFrame(rows, kind)
+    same = {(r.book_id, r.stage): (r.files, r.root, r.book_root) for r in B.manifest(before).collect()}
+    assert {k: v[0] for k, v in same.items()} == {("x", "text"): 70, ("x", "nav"): 1, ("y", "text"): 9, ("z", "text"): 8}
+    assert B.differing(before, spark.createDataFrame(rng.sample(rows, len(rows)), kind)).count() == 0
+    hit = {("x", "text", "033.xhtml"), ("x", "nav", "000.xhtml"), ("y", "text", "008.xhtml")}
+    now = [(*r[:3], r[3] + "!", 1) if r[:3] in hit else r for r in rows if r[:3] != ("x", "text", "050.xhtml")] + [("z", "text", "new", "n", 1), ("v", "text", "first", "n", 1)]
+    after = spark.createDataFrame(now, kind)
+    assert {tuple(r) for r in B.differing(before, after).collect()} == hit | {("x", "text", "050.xhtml"), ("z", "text", "new"), ("v", "text", "first")}
+    changed = {(r.book_id, r.stage): (r.files, r.root, r.book_root) for r in B.manifest(after).collect()}
+    assert changed["z", "text"][1] != same["z", "text"][1] and changed["x", "nav"][1] != same["x", "nav"][1] and changed["x", "text"][2] != same["x", "text"][2]
