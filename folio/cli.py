@@ -17,8 +17,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.operators import analyzer, extraction, findings, golden, packaging, rendering, report, review, reviewcache, runtime
-from folio.sources import files, pageruns
+from folio.operators import analyzer, backup, buildmanifest, extraction, findings, frontmatter, golden, packaging, ready, rendering, report, review, reviewcache, runtime
+from folio.sources import files, outputs, pageruns
 
 TABLES = ("nodes", "relationships", "resolved", "furniture", "unresolved", "candidates")
 
@@ -65,14 +65,40 @@ def page_images(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(book.alias("book_id"), number.alias("page_number"), F.concat(book, F.lit(":page:"), F.format_string("%04d", number)).alias("page_id"), F.col("path").alias("uri"), F.col("content").alias("image")).where("page_number > 0")
 
 
-def extract_book(spark: SparkSession, a: argparse.Namespace) -> int:
-    """Extracts the page images of books by plug-ins, and publishes their runs; 1 if a page has none in the end."""
+def _routes(texts: list[str]) -> tuple[list[dict], dict]:
     routes, plugins = [], {}
-    for text in a.route:
+    for text in texts:
         name, _, rest = text.partition("=")
         tier, _, plugin = rest.partition("=")
         routes.append({"name": name, "tier": tier, "max_attempts": 2 if tier == "paid" else 3})
         plugins[name] = _plugin(plugin)
+    return routes, plugins
+
+
+def _media_type(uri: str):
+    return F.when(F.lower(uri).rlike(r"\.jpe?g\z"), "image/jpeg").when(F.lower(uri).endswith(".png"), "image/png")
+
+
+def extract_metadata(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Suggests metadata of books from their first pages, <out>/<book>.json, with covers and reports; 1 if a book has none in the end."""
+    routes, plugins = _routes(a.route)
+    images = page_images(spark, a.images).withColumn("media_type", _media_type("uri"))
+    tasks = frontmatter.front_tasks(images, a.start_page, a.end_page)
+    done = frontmatter.suggested(tasks, routes, plugins, lambda df, name: _write(df, a.work, name), a.policy, a.backoff, max(a.backoff, 8.0))
+    found = _write(frontmatter.covers(done, _plugin(a.convert) if a.convert else None), a.work, "suggested")
+    outputs.write_files(frontmatter.metadata_files(found), str(Path(a.out).resolve()) if "://" not in a.out else a.out).count()
+    status = done.select("book_id", "outcome").join(found.select("book_id", "suggestion.metadata.title", "cover_status", "warnings"), "book_id", "left").orderBy("book_id")
+    bad = False
+    # A line for each book.
+    for r in status.toLocalIterator():
+        bad |= r["outcome"] != extraction.SUCCEEDED
+        print(json.dumps(r.asDict(), ensure_ascii=False))
+    return int(bad)
+
+
+def extract_book(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Extracts the page images of books by plug-ins, and publishes their runs; 1 if a page has none in the end."""
+    routes, plugins = _routes(a.route)
     tasks = page_images(spark, a.images)
     if a.page:
         wanted = files.page_numbers(F.lit(a.page))
@@ -89,7 +115,7 @@ def extract_book(spark: SparkSession, a: argparse.Namespace) -> int:
     done = extraction.with_recovery(done, _plugin(a.ocr), earlier) if a.ocr else done.withColumn("recovery_language", F.lit(None).cast("string"))
     done = _write(done, a.out, "extracted")
     text = lambda v: F.lit(v).cast("string")
-    kind = F.when(F.lower("uri").rlike(r"\.jpe?g\z"), "image/jpeg").when(F.lower("uri").endswith(".png"), "image/png")
+    kind = _media_type("uri")
     source = F.struct(F.col("page_id").alias("source_id"), "uri", "sha256", kind.alias("media_type"), text(None).alias("document_sha256"))
     info = F.struct(F.element_at(F.split("uri", "/"), -1).alias("file"), kind.alias("media_type"), "sha256", F.length("image").alias("byte_size"), F.lit(True).alias("preserved"))
     pair = lambda k: F.struct(text(named[k][0]).alias("name"), text(named[k][1]).alias("version"))
@@ -114,7 +140,7 @@ def assemble_book(spark: SparkSession, a: argparse.Namespace) -> int:
 def _books(spark: SparkSession, a: argparse.Namespace, ids: DataFrame) -> DataFrame:
     """Metadata of the books, from <metadata>/<book>.json, with what the command gives over it."""
     found = files.whole_files(spark, a.metadata, "*.json") if a.metadata else spark.createDataFrame([], "path string, text string")
-    base = files.book_metadata(found.select(F.regexp_extract("path", r"([^/]*)\.json$", 1).alias("book_id"), "text"))
+    base = files.book_metadata(found.select(files.book_of(F.col("path")).alias("book_id"), "text"))
     bad = base.where("size(violations) > 0").limit(5).collect()
     if bad:
         raise ValueError(f"metadata: {[(r['book_id'], r['violations']) for r in bad]}")
@@ -122,10 +148,40 @@ def _books(spark: SparkSession, a: argparse.Namespace, ids: DataFrame) -> DataFr
     return files.merged_metadata(base.drop("violations").join(ids, "book_id", "right"), given).select("book_id", *packaging.METADATA_FIELDS)
 
 
+ASSETS = "book_id string, file string, data binary"
+
+
+def _cover_images(spark: SparkSession, a: argparse.Namespace, books: DataFrame) -> DataFrame | None:
+    """(book_id, path, data) of the covers that metadata name, relative to the folder of the metadata. Raises ValueError for one that isn't there."""
+    named = books.where("cover is not null").select("book_id", packaging.plain_path(F.col("cover")).alias("path"))
+    if not a.metadata or named.isEmpty():
+        return None
+    images = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{" + ",".join(x for e in frontmatter.COVER_ENDINGS for x in (e, e.upper())) + "}").load(a.metadata)
+    root = _qualified(spark, a.metadata)
+    found = images.select(F.substring("path", len(root) + 2, 1 << 20).alias("path"), F.col("content").alias("data"))
+    both = named.join(found, "path", "left").select("book_id", "path", "data")
+    lost = both.where("data is null").limit(5).collect()
+    if lost:
+        raise ValueError(f"covers that are not there or of no known kind: {[(r['book_id'], r['path']) for r in lost]}")
+    return both
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def render_xhtml(spark: SparkSession, a: argparse.Namespace) -> int:
     nodes = _write(rendering.projected(spark.read.parquet(f"{a.book}/nodes"), spark.read.parquet(f"{a.book}/relationships")), a.out, "semantic")
     books = _write(_books(spark, a, nodes.select("book_id").distinct()), a.out, "books")
-    _write(rendering.rendered(nodes, books), a.out, "documents")
+    documents, assets = rendering.rendered(nodes, books), _maybe(spark, f"{a.assets}") if a.assets else None
+    covers = _cover_images(spark, a, books)
+    if covers is not None:
+        front, image = frontmatter.cover_documents(books, covers)
+        documents, assets = documents.unionByName(front), image if assets is None else assets.unionByName(image)
+    documents = _write(documents, a.out, "documents")
+    assets = _write(spark.createDataFrame([], ASSETS) if assets is None else assets.select("book_id", "file", "data"), a.out, "assets")
+    _write(ready.manifests(books, documents, assets), a.out, "manifests")
     _write(packaging.toc_entries(rendering.chunked(nodes)), a.out, "entries")
     for r in rendering.projection_warnings(spark.read.parquet(f"{a.book}/relationships")).limit(100).collect():
         print(f"{r['book_id']}: {r['warning']}")
@@ -135,8 +191,14 @@ def render_xhtml(spark: SparkSession, a: argparse.Namespace) -> int:
 def package_epub(spark: SparkSession, a: argparse.Namespace) -> int:
     read = lambda n: spark.read.parquet(f"{a.ready}/{n}")
     assets = _maybe(spark, f"{a.ready}/assets")
-    none = spark.createDataFrame([], "book_id string, file string, data binary")
-    made = _write(packaging.packaged(read("books"), read("documents"), read("entries"), none if assets is None else assets, a.modified), a.out, "epubs")
+    assets = spark.createDataFrame([], ASSETS) if assets is None else assets
+    manifests = _maybe(spark, f"{a.ready}/manifests")
+    if manifests is not None:
+        there = read("documents").select("book_id", F.concat(F.lit("text/"), "file").alias("file")).unionByName(assets.select("book_id", "file")).unionByName(read("books").select("book_id", F.lit(ready.STYLESHEET).alias("file")))
+        bad = ready.manifest_problems(manifests, there).orderBy("book_id", "file", "problem").limit(5).collect()
+        if bad:
+            raise ValueError(f"manifest: {[(r['book_id'], r['file'], r['problem']) for r in bad]}")
+    made = _write(packaging.packaged(read("books"), read("documents"), read("entries"), assets, a.modified), a.out, "epubs")
     out = Path(a.out).resolve()
     # One book at a time reaches the driver.
     for r in made.toLocalIterator():
@@ -155,6 +217,12 @@ def build_epub(spark: SparkSession, a: argparse.Namespace) -> int:
     return _report(spark, f"{out}/epub") if a.validate else 0
 
 
+def convert_book(spark: SparkSession, a: argparse.Namespace) -> int:
+    """extract-book and build-epub in one: page images to packages; 1, without packages, if a page has no run in the end."""
+    state = extract_book(spark, argparse.Namespace(**(vars(a) | {"out": f"{a.out}/extraction"})))
+    return state or build_epub(spark, a)
+
+
 def _report(spark: SparkSession, folder: str) -> int:
     epubs = spark.read.format("binaryFile").option("pathGlobFilter", "*.epub").load(folder).select(F.col("path").alias("book_id"), F.col("content").alias("epub"))
     bad = 0
@@ -180,6 +248,42 @@ def prepare_proof(spark: SparkSession, a: argparse.Namespace) -> int:
     return int(bool(changes) and not a.force)
 
 
+def backup_book(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Brings a backup of the books of a ready folder into agreement: proofs, metadata, decisions and build; other files there stay."""
+    out = a.out if "://" in a.out else str(Path(a.out).absolute())
+    sources = [x for x in (a.ready, a.proof, a.review, a.metadata) if x]
+    if "://" not in out:
+        if Path(out).is_symlink() or (Path(out).exists() and not Path(out).is_dir()):
+            raise ValueError(f"no folder of its own: {out}")
+        here = Path(out).resolve()
+        for x in sources:
+            if "://" not in x and (here.is_relative_to(Path(x).resolve()) or Path(x).resolve().is_relative_to(here)):
+                raise ValueError(f"the backup {out} and {x} overlap")
+    baseline = _maybe(spark, f"{a.proof}/baseline")
+    if baseline is None:
+        raise ValueError(f"no proof: {a.proof}")
+    documents = spark.read.parquet(f"{a.ready}/documents")
+    held = documents.select("book_id", "file", F.col("content").cast("binary").alias("data"))
+    metadata = files.whole_files(spark, a.metadata, "*.json").select(files.book_of(F.col("path")).alias("book_id"), "text") if a.metadata else None
+    build = buildmanifest.manifest(held.select("book_id", F.lit("documents").alias("stage"), "file", F.sha2("data", 256).alias("sha256"), F.octet_length("data").cast("long").alias("size")))
+    made = backup.artifacts(documents, packaging.proof_changes(baseline, packaging.snapshot(held)), metadata, _maybe(spark, f"{a.review}/resolutions") if a.review else None, build)
+    made = _write(made.withColumn("sha256", F.sha2("data", 256)), a.work, "artifacts")
+    there = spark.createDataFrame([], "path string, sha256 string")
+    if "://" in out or Path(out).is_dir():
+        root = _qualified(spark, out)
+        rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(out)
+        there = rows.select(F.substring("path", len(root) + 2, 1 << 20).alias("path"), F.sha2("content", 256).alias("sha256"))
+    plan = _write(backup.actions(made.select("path", "sha256"), there), a.work, "actions")
+    todo = made.join(plan.where("action in ('add', 'replace')"), "path", "left_semi").select("path", "data")
+    # What a manifest says is there before it.
+    last = F.substring_index("path", "/", -1) == backup.MANIFEST
+    outputs.write_files(todo.where(~last), out).count()
+    outputs.remove_files(plan.where("action = 'remove'"), out).count()
+    outputs.write_files(todo.where(last), out).count()
+    print(json.dumps({r["action"]: r["count"] for r in plan.groupBy("action").count().orderBy("action").collect()}))
+    return 0
+
+
 def review_text(spark: SparkSession, a: argparse.Namespace) -> int:
     """Findings of all pages with a reading, <run>/review/ocr.tsv, and of the heuristics; what is suppressed, and why."""
     pages = _pages(spark, a)
@@ -292,28 +396,38 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument(place)
         return p
 
-    extract = action("extract-book", extract_book, "images", "runs", "out")
-    extract.add_argument("--route", action="append", required=True, metavar="NAME=TIER=MODULE:FUNCTION", help="in the order in which they are tried")
-    extract.add_argument("--policy", choices=runtime.POLICIES, default="free-only")
-    extract.add_argument("--ocr", metavar="MODULE:FUNCTION", help="reads pages that a provider declines to recite")
-    extract.add_argument("--page", help="numbers such as 3,7-9; all by default")
-    extract.add_argument("--prompt-version", default="5")
-    extract.add_argument("--backoff", type=float, default=1.0)
-    extract.add_argument("--force", action="store_true", help="extract pages again that have a run of this image, prompt and schema")
+    extract, metadata = action("extract-book", extract_book, "images", "runs", "out"), action("extract-metadata", extract_metadata, "images", "out", "work")
+    convert = action("convert-book", convert_book, "images", "runs", "out")
+    for p in (extract, metadata, convert):
+        p.add_argument("--route", action="append", required=True, metavar="NAME=TIER=MODULE:FUNCTION", help="in the order in which they are tried")
+        p.add_argument("--policy", choices=runtime.POLICIES, default="free-only")
+        p.add_argument("--backoff", type=float, default=1.0)
+    metadata.add_argument("--start-page", type=int, default=frontmatter.FIRST)
+    metadata.add_argument("--end-page", type=int, default=frontmatter.LAST)
+    metadata.add_argument("--convert", metavar="MODULE:FUNCTION", help="makes JPEG of covers that are none")
+    for p in (extract, convert):
+        p.add_argument("--ocr", metavar="MODULE:FUNCTION", help="reads pages that a provider declines to recite")
+        p.add_argument("--page", help="numbers such as 3,7-9; all by default")
+        p.add_argument("--prompt-version", default="5")
+        p.add_argument("--force", action="store_true", help="extract pages again that have a run of this image, prompt and schema")
     assemble, build = action("assemble-book", assemble_book, "runs", "out"), action("build-epub", build_epub, "runs", "out")
     render, package = action("render-xhtml", render_xhtml, "book", "out"), action("package-epub", package_epub, "ready", "out")
-    for p in (assemble, build):
+    for p in (assemble, build, convert):
         p.add_argument("--exclude-pages")
         p.add_argument("--review", help="folder of a review whose corrections apply")
         p.add_argument("--require-reviewed", action="store_true")
-    for p in (render, build):
-        for option in ("--title", "--language", "--author", "--metadata"):
+    for p in (render, build, convert):
+        for option in ("--title", "--language", "--author", "--metadata", "--assets"):
             p.add_argument(option)
-    for p in (package, build):
+    for p in (package, build, convert):
         p.add_argument("--modified")
-    build.add_argument("--validate", action="store_true")
+    for p in (build, convert):
+        p.add_argument("--validate", action="store_true")
     action("validate-epub", validate_epub, "epubs")
     action("prepare-proof", prepare_proof, "ready", "proof").add_argument("--force", action="store_true")
+    kept = action("backup-book", backup_book, "ready", "proof", "out", "work")
+    kept.add_argument("--metadata")
+    kept.add_argument("--review")
     text = action("review-text", review_text, "runs", "out")
     text.add_argument("--min-confidence", type=float, default=0.0)
     text.add_argument("--cache", help="folder of earlier results; that of the review by default")

@@ -49,17 +49,17 @@ class Recognizer(Protocol):
 _TASK = ("book_id", "page_number", "page_id")
 
 
-def _calls(extractors: dict[str, Extractor]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _calls(extractors: dict[str, Extractor], keys: tuple[str, ...], asset: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.string(), pa.string(), pa.map_(pa.string(), pa.int64()), pa.int32(), pa.string(), pa.string(), pa.float64(), pa.bool_()]
         names = [c.split(" ")[0] for c in _ANSWER.split(", ")]
         for batch in batches:
             for i in range(batch.num_rows):
                 one = batch.slice(i, 1)
-                value = {c: one.column(c)[0].as_py() for c in (*_TASK, "image", "_name", "_attempt")}
-                task = {c: value[c] for c in _TASK} | {"route": value["_name"], "attempt": value["_attempt"]}
+                value = {c: one.column(c)[0].as_py() for c in (*keys, asset, "_name", "_attempt")}
+                task = {c: value[c] for c in keys} | {"route": value["_name"], "attempt": value["_attempt"]}
                 try:
-                    got = extractors[value["_name"]](value["image"], task)
+                    got = extractors[value["_name"]](value[asset], task)
                     row = (got.get("raw"), got.get("model"), list((got.get("usage") or {}).items()), None, None, None, None, True)
                 except ExtractionError as e:
                     row = (None, None, None, e.status, str(e), e.error, e.retry_after, False)
@@ -70,12 +70,20 @@ def _calls(extractors: dict[str, Extractor]) -> Callable[[Iterator[pa.RecordBatc
     return run
 
 
-def extracted(tasks: DataFrame, routes: list[dict], extractors: dict[str, Extractor], keep: Callable[[DataFrame, str], DataFrame], policy: str = "free-only", base: float = 1.0, most: float = 8.0, wait: Callable[[float], None] = time.sleep) -> DataFrame:
+def typed_pages(answers: DataFrame) -> DataFrame:
+    """answers (_raw, ...) with page and violations."""
+    return normalized(answers, raw="_raw")
+
+
+def extracted(tasks: DataFrame, routes: list[dict], extractors: dict[str, Extractor], keep: Callable[[DataFrame, str], DataFrame], policy: str = "free-only", base: float = 1.0, most: float = 8.0, wait: Callable[[float], None] = time.sleep, judge: Callable[[DataFrame], DataFrame] = typed_pages, made: str = "page", keys: tuple[str, ...] = _TASK, asset: str = "image") -> DataFrame:
     """tasks (book_id, page_number, page_id, image, ...) with outcome, page (evidence.PAGE_TYPE), raw, model, usage and attempts.
 
     routes: (name, tier, max_attempts) as runtime.checked_routes takes them, each with a plug-in of its name. keep writes a table under a name and reads it
     back. An answer that breaks the contract of a page is a failure like others. Once a page of a book has failed for a reason that
     concerns them all, the book's open pages are not reached. Null images are passed on as such.
+
+    Other tasks than pages: keys are the columns that the plug-in is told, book_id among them, asset is what it gets, and judge gives answers (_raw)
+    the column made and violations, empty where the answer will do.
     """
     allowed = runtime.checked_routes(routes, policy, base, most)
     missing = [r["name"] for r in allowed if r["name"] not in extractors]
@@ -89,7 +97,7 @@ def extracted(tasks: DataFrame, routes: list[dict], extractors: dict[str, Extrac
     for wave in range(1, sum(r["max_attempts"] for r in allowed) + 1):
         named = state.withColumn("_name", number(lambda r: r["name"], F.col("_route")))
         schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema), _ANSWER])
-        judged = normalized(named.mapInArrow(_calls(extractors), schema), raw="_raw")
+        judged = judge(named.mapInArrow(_calls(extractors, keys, asset), schema))
         judged = judged.withColumn("_ok", F.col("_called") & (F.size("violations") == 0)).withColumn("_error", F.when(F.col("_called"), "invalid_response").otherwise(F.col("_error")))
         kind = F.when(~F.col("_ok"), runtime.failure_kind(F.col("_status"), F.col("_message"), F.col("_error")))
         tried = F.struct(F.lit("provider").alias("mechanism"), F.col("_name").alias("provider"), F.when(F.col("_ok"), SUCCEEDED).otherwise(FAILED).alias("status"), F.col("_kind").alias("reason"), F.create_map(F.lit("attempt"), F.col("_attempt").cast("string"), F.lit("tier"), number(lambda r: r["tier"], F.col("_route"))).alias("metadata"))
@@ -98,7 +106,7 @@ def extracted(tasks: DataFrame, routes: list[dict], extractors: dict[str, Extrac
         outcome = F.when(F.col("_ok"), SUCCEEDED).when(again | onward, OPEN).otherwise(FAILED)
         delay = F.when(again, runtime.retry_delay(F.col("_attempt"), base, most, F.col("_after")))
         rows = judged.withColumn("_kind", kind).withColumn("attempts", F.concat("attempts", F.array(tried))).withColumns({"outcome": outcome, "_wait": delay, "_again": again})
-        rows = keep(rows.select(*columns, F.when(F.col("_again"), F.col("_route")).otherwise(F.col("_route") + 1).alias("_route"), F.when(F.col("_again"), F.col("_attempt") + 1).otherwise(1).alias("_attempt"), "attempts", "outcome", "page", F.col("_raw").alias("raw"), F.col("_model").alias("model"), F.col("_usage").alias("usage"), "_wait"), f"wave-{wave}")
+        rows = keep(rows.select(*columns, F.when(F.col("_again"), F.col("_route")).otherwise(F.col("_route") + 1).alias("_route"), F.when(F.col("_again"), F.col("_attempt") + 1).otherwise(1).alias("_attempt"), "attempts", "outcome", made, F.col("_raw").alias("raw"), F.col("_model").alias("model"), F.col("_usage").alias("usage"), "_wait"), f"wave-{wave}")
         stopped = rows.where((F.col("outcome") == FAILED) & runtime.stops_run(F.col("attempts"))).select("book_id").distinct()
         still = rows.where(F.col("outcome") == OPEN)
         done += [rows.where(F.col("outcome") != OPEN), still.join(stopped, "book_id", "left_semi").withColumn("outcome", F.lit(NOT_REACHED)).select(rows.columns)]

@@ -133,7 +133,7 @@ def package_documents(books: DataFrame, files: DataFrame, modified: str) -> Data
     for e, t in MEDIA_TYPES.items():
         kind = F.when(ending == e, t) if kind is None else kind.when(ending == e, t)
     group = F.when(ending == "xhtml", "content").when(ending == "css", "css").otherwise("asset")
-    rows = files.withColumn("group", group).withColumn("kind", kind).withColumn("cover", F.substring_index("file", "/", -1).isin("cover.xhtml", "cover.jpg"))
+    rows = files.withColumn("group", group).withColumn("kind", kind).withColumn("cover", F.col("file").rlike(r"^(text/cover\.xhtml|assets/cover\.(gif|jpe?g|png|svg))\z"))
     unknown = rows.where("kind is null").limit(5).collect()
     if unknown:
         raise ValueError(f"no media type: {[r['file'] for r in unknown]}")

@@ -38,6 +38,11 @@ def _below(path: Column, n: int) -> Column:
     return F.url_decode(F.replace(F.element_at(F.split(path, "/"), -1 - n), F.lit("+"), F.lit("%2B")))
 
 
+def book_of(path: Column) -> Column:
+    """The book that a file <book>.json is named after, from the path of its URI."""
+    return F.regexp_extract(_below(path, 0), r"(?s)^(.*)\.json\z", 1)
+
+
 def document_hashes(spark: SparkSession, path: str) -> DataFrame:
     """(uri, sha256, size) of binary files. A file is read by one task and may have up to 2 GB; an empty one gives no row."""
     return spark.read.format("binaryFile").load(path).select(F.col("path").alias("uri"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
@@ -161,6 +166,19 @@ def _metadata_of(text: str | None) -> tuple[dict, list[str]]:
     return out, bad
 
 
+def with_metadata(rows: DataFrame, column: str) -> DataFrame:
+    """rows with metadata (METADATA_TYPE), of a column of JSON texts, and violations; as book_metadata."""
+    kind = f"struct<metadata: struct<{METADATA_TYPE}>, violations: array<string>>"
+
+    @F.pandas_udf(kind)
+    def judge(texts: pd.Series) -> pd.DataFrame:
+        got = [_metadata_of(t) for t in texts]
+        fields = [{k: m.get(k, [] if k in _TEXTS else None) for k in METADATA_FIELDS} for m, _ in got]
+        return pd.DataFrame({"metadata": fields, "violations": [b for _, b in got]})
+
+    return rows.withColumn("_m", judge(F.col(column))).select(*rows.columns, "_m.metadata", "_m.violations")
+
+
 def book_metadata(files: DataFrame) -> DataFrame:
     """(book_id, METADATA_FIELDS, violations) of (book_id, text), JSON files. author stands for one author, a number for
     series_index for its text; unknown keys are left out. Fields that break a rule are null."""
