@@ -65,6 +65,11 @@ def suggested(tasks: DataFrame, routes: list[dict], extractors: dict, keep: Call
     return extraction.extracted(tasks, routes, extractors, keep, policy, base, most, judge=judged_suggestions, made="suggestion", keys=("book_id",), asset="first_pages", **more)
 
 
+def cover_page(field: str) -> Column:
+    """What the row's cover page is in first_pages, null without one."""
+    return F.get(F.filter("first_pages", lambda p: p["page_number"] == F.col("cover_page_number")), F.lit(0))[field]
+
+
 def cover_states(books: DataFrame) -> DataFrame:
     """books (cover_page_number, pages: numbers of the pages that were selected, ...) with cover_status."""
     there = F.array_contains("pages", F.col("cover_page_number"))
@@ -97,9 +102,8 @@ def covers(done: DataFrame, convert: Converter | None = None) -> DataFrame:
     is, others are given to convert. What can't be had of a cover is a warning, and never fails the metadata."""
     rows = done.where(F.col("outcome") == extraction.SUCCEEDED).withColumns({"pages": F.transform("first_pages", lambda p: p["page_number"]), "cover_page_number": F.col("suggestion.cover_page_number")})
     rows = cover_states(rows)
-    page = F.get(F.filter("first_pages", lambda p: p["page_number"] == F.col("cover_page_number")), F.lit(0))
-    made = rows.select("book_id", page["media_type"].alias("_kind"), page["image"].alias("_image")).mapInArrow(_converted(convert), "book_id string, cover_image binary, transcoded boolean, reason string")
-    both = rows.withColumn("cover_media_type", page["media_type"]).drop("first_pages").join(made, "book_id")
+    made = rows.select("book_id", cover_page("media_type").alias("_kind"), cover_page("image").alias("_image")).mapInArrow(_converted(convert), "book_id string, cover_image binary, transcoded boolean, reason string")
+    both = rows.withColumn("cover_media_type", cover_page("media_type")).drop("first_pages").join(made, "book_id")
     state = F.when((F.col("cover_status") == EXTRACTED) & F.col("cover_image").isNull(), NOT_CONVERTED).otherwise(F.col("cover_status"))
     both = both.withColumn("cover_status", state)
     text = F.when(state == NOT_SELECTED, F.concat(F.lit("page "), F.col("cover_page_number").cast("string"), F.lit(" is named as the cover and wasn't among the pages shown"))).when(state == NOT_CONVERTED, F.concat(F.lit("the cover can't be converted: "), F.coalesce("reason", F.lit("no image"))))

@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 from folio.functions import text as T
 from folio.operators import analyzer as A
+from folio.operators import backup as U
 from folio.operators import buildmanifest as B
 from folio.operators import documents as J
 from folio.operators import evidence as E
 from folio.operators import findings as D
+from folio.operators import frontmatter as M
 from folio.operators import packaging as K
+from folio.operators import ready as Y
 from folio.operators import rendering as X
 from folio.operators import report as P
 from folio.operators import runtime as R
@@ -443,3 +446,52 @@ SELECT c.*, root, book_root FROM c JOIN tops USING (book_id, stage) JOIN b USING
 def q76_build_manifest(spark, d):
     rows = read(spark, d, "documents").select(F.col("source").alias("book_id"), F.col("lang").alias("stage"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("file"), F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("size"))
     return B.manifest(rows)
+
+
+@query("""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS l, doc_id % 11 AS c FROM documents WHERE text IS NOT NULL),
+s AS (SELECT doc_id, least(len(l), 8) AS pages, CASE WHEN c > 0 THEN c END AS cover, l FROM l)
+SELECT doc_id, pages::INTEGER AS pages, CASE WHEN cover IS NULL THEN 'not-detected' WHEN cover > pages THEN 'page-not-selected' ELSE 'extracted' END AS cover_status, CASE WHEN cover <= pages THEN md5(l[cover]) END AS cover FROM s""")
+def q77_cover_states(spark, d):
+    """The cover among the first pages of each book: here a document is a book, and a line a page."""
+    rows = read(spark, d, "documents").where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "t"))
+    images = rows.select(F.col("doc_id").alias("book_id"), (F.col("p") + 1).alias("page_number"), F.lit("image/jpeg").alias("media_type"), F.col("t").cast("binary").alias("image"))
+    named = F.nullif(F.col("book_id") % 11, F.lit(0)).cast("int")
+    tasks = M.front_tasks(images).withColumns({"cover_page_number": named, "pages": F.transform("first_pages", lambda p: p["page_number"])})
+    return M.cover_states(tasks).select(F.col("book_id").alias("doc_id"), F.size("pages").alias("pages"), "cover_status", F.md5(M.cover_page("image")).alias("cover"))
+
+
+@query("""WITH a AS (SELECT source AS book_id, 'assets/' || CASE WHEN doc_id % 70 = 3 THEN '../' ELSE '' END || 'd' || (doc_id - doc_id % 9) AS file FROM documents WHERE doc_id % 3 = 0),
+c AS (SELECT source AS book_id, 'text/d' || doc_id AS file FROM documents WHERE doc_id % 3 > 0),
+n AS (SELECT book_id, file, count(*) AS n FROM (SELECT * FROM a UNION ALL SELECT * FROM c) GROUP BY ALL),
+t AS (SELECT DISTINCT source AS book_id, CASE WHEN doc_id % 3 > 0 THEN 'text/d' ELSE 'assets/d' END || doc_id AS file FROM documents WHERE doc_id % 10 > 0),
+m AS (SELECT source AS book_id, 'assets/d' || min(doc_id) AS image, 'text/d' || max(doc_id) AS content FROM documents GROUP BY source)
+SELECT book_id, file, 'leaves the book' AS problem FROM n WHERE file LIKE '%..%' UNION ALL SELECT book_id, file, 'named twice' FROM n WHERE n > 1
+UNION ALL SELECT book_id, file, 'is not there' FROM n ANTI JOIN t USING (book_id, file) WHERE file NOT LIKE '%..%'
+UNION ALL SELECT book_id, 'styles/book.css', 'is not there' FROM m UNION ALL SELECT book_id, NULL, 'no contents' FROM m ANTI JOIN c USING (book_id)
+UNION ALL SELECT book_id, image, 'cover is no asset' FROM m ANTI JOIN a ON m.book_id = a.book_id AND image = a.file
+UNION ALL SELECT book_id, content, 'cover is not in contents' FROM m ANTI JOIN c ON m.book_id = c.book_id AND content = c.file""")
+def q78_manifest_problems(spark, d):
+    """Manifests of books whose files are documents; of the assets some are named twice, some lie elsewhere, and each tenth file is not there."""
+    doc = F.col("doc_id")
+    rows = read(spark, d, "documents").select(F.col("source").alias("book_id"), "doc_id")
+    asset = F.concat(F.lit("assets/"), F.when(doc % 70 == 3, "../").otherwise(""), F.lit("d"), (doc - doc % 9).cast("string"))
+    text = F.concat(F.lit("text/d"), doc.cast("string"))
+    names = lambda c, c_if: F.collect_list(F.when(c_if, c))
+    cover = F.struct(F.concat(F.lit("assets/d"), F.min("doc_id").cast("string")).alias("image"), F.concat(F.lit("text/d"), F.max("doc_id").cast("string")).alias("content"))
+    made = rows.groupBy("book_id").agg(names(text, doc % 3 > 0).alias("contents"), names(asset, doc % 3 == 0).alias("assets"), cover.alias("cover"))
+    none = F.lit(None).cast("string")
+    manifest = F.struct(none.alias("title"), none.alias("language"), none.alias("content"), "contents", "cover", none.alias("endnotes"), F.lit(Y.STYLESHEET).alias("stylesheet"), "assets")
+    there = rows.where(doc % 10 > 0).select("book_id", F.concat(F.when(doc % 3 > 0, "text/d").otherwise("assets/d"), doc.cast("string")).alias("file"))
+    return Y.manifest_problems(made.select("book_id", manifest.cast(Y.MANIFEST_TYPE).alias("manifest")), there)
+
+
+@query("""WITH s AS (SELECT source || '/proof/d' || doc_id AS path, md5(text) AS h FROM documents WHERE doc_id // 20 % 5 > 0 AND doc_id % 20 <> 3 AND source IS NOT NULL),
+o AS (SELECT source || CASE WHEN doc_id % 13 = 0 THEN '/notes/d' ELSE '/proof/d' END || doc_id AS path, md5(CASE WHEN doc_id % 11 = 0 THEN text || 'x' ELSE text END) AS h FROM documents WHERE doc_id % 7 > 0 AND source IS NOT NULL)
+SELECT path, CASE WHEN o.path IS NULL THEN 'add' WHEN s.path IS NULL THEN 'remove' WHEN s.h = o.h THEN 'keep' ELSE 'replace' END AS action FROM s FULL JOIN o USING (path) WHERE s.path IS NOT NULL OR path LIKE '%/proof/%' AND split_part(path, '/', 1) IN (SELECT split_part(path, '/', 1) FROM s)""")
+def q79_backup_actions(spark, d):
+    """Backups of books that have lost files, of one that is gone itself, and of files that the backup doesn't manage."""
+    doc = F.col("doc_id")
+    rows = read(spark, d, "documents").where("source is not null")
+    made = rows.where((F.floor(doc / 20) % 5 > 0) & (doc % 20 != 3)).select(F.concat("source", F.lit("/proof/d"), doc.cast("string")).alias("path"), F.md5(F.col("text").cast("binary")).alias("sha256"))
+    kept = rows.where(doc % 7 > 0).select(F.concat("source", F.when(doc % 13 == 0, "/notes/d").otherwise("/proof/d"), doc.cast("string")).alias("path"), F.md5(F.when(doc % 11 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text")).cast("binary")).alias("sha256"))
+    return U.actions(made, kept)
