@@ -495,3 +495,60 @@ def q79_backup_actions(spark, d):
     made = rows.where((F.floor(doc / 20) % 5 > 0) & (doc % 20 != 3)).select(F.concat("source", F.lit("/proof/d"), doc.cast("string")).alias("path"), F.md5(F.col("text").cast("binary")).alias("sha256"))
     kept = rows.where(doc % 7 > 0).select(F.concat("source", F.when(doc % 13 == 0, "/notes/d").otherwise("/proof/d"), doc.cast("string")).alias("path"), F.md5(F.when(doc % 11 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text")).cast("binary")).alias("sha256"))
     return U.actions(made, kept)
+
+
+OUTLINE_ROLES = ("chapter_title", "section_title", "chapter_label", "subsection_title", "subtitle", "scenario_title", "genre_label", "unknown")
+
+
+def outline(spark: SparkSession, d: str) -> DataFrame:
+    """Projected nodes: a document is one, of five four are headings, of seven one is a footnote; headings have a reference in their text."""
+    doc, k = F.col("doc_id"), F.floor(F.col("doc_id") / 20)
+    kind = F.when(k % 7 == 3, "footnote").when(k % 5 == 0, "paragraph").otherwise("heading")
+    role = F.when(kind == "heading", F.get(F.array(*map(F.lit, OUTLINE_ROLES)), ((k * 3 + doc % 3) % len(OUTLINE_ROLES)).cast("int")))
+    inline = lambda text, target: F.struct(F.lit(text).alias("text") if isinstance(text, str) else text.alias("text"), F.lit("en").alias("language"), F.array().cast("array<string>").alias("marks"), F.lit(False).alias("italic"), F.lit(target).cast("string").alias("target_id"), F.lit(None).cast("string").alias("source_span_id"))
+    content = F.array(inline("Part", None), inline("1", "note"), inline(F.concat(F.lit("d"), doc.cast("string")), None))
+    level = F.when((kind == "heading") & ~role.isin(*X.UNRANKED_ROLES), (k % 8).cast("int"))
+    return read(spark, d, "documents").select(F.col("source").alias("book_id"), doc.alias("node_pos"), F.concat(F.lit("n"), doc.cast("string")).alias("node_id"), kind.alias("node_type"), role.alias("role"), level.alias("level"), content.cast(f"array<{X.INLINE_TYPE}>").alias("content"))
+
+
+_OUTLINE = f"""n0 AS (SELECT source AS book_id, doc_id AS node_pos, doc_id // 20 AS k, CASE WHEN doc_id // 20 % 7 = 3 THEN 'footnote' WHEN doc_id // 20 % 5 = 0 THEN 'paragraph' ELSE 'heading' END AS kind, {list(OUTLINE_ROLES)}[(doc_id // 20 * 3 + doc_id % 3) % {len(OUTLINE_ROLES)} + 1] AS r FROM documents),
+n AS (SELECT book_id, node_pos, kind, CASE WHEN kind = 'heading' THEN r END AS role, CASE WHEN kind = 'heading' AND r NOT IN ('chapter_label', 'genre_label', 'scenario_label', 'subtitle') THEN (k % 8)::INTEGER END AS level FROM n0),
+b AS (SELECT *, coalesce(role IN ('chapter_label', 'genre_label', 'scenario_label'), FALSE) AS label, coalesce(role NOT IN ('chapter_label', 'genre_label', 'scenario_label', 'subtitle'), FALSE) AS starts FROM n WHERE kind <> 'footnote'),
+c0 AS (SELECT *, CASE WHEN row_number() OVER w = 1 OR label OR (starts AND NOT lag(label) OVER w) THEN 1 ELSE 0 END AS cut FROM b WINDOW w AS (PARTITION BY book_id ORDER BY node_pos)),
+c AS (SELECT *, sum(cut) OVER (PARTITION BY book_id ORDER BY node_pos)::BIGINT AS chunk FROM c0),
+f0 AS (SELECT book_id, chunk, arg_min(coalesce(role, ''), node_pos) FILTER (NOT label) AS first FROM c GROUP BY book_id, chunk),
+f1 AS (SELECT book_id, chunk, CASE first WHEN 'chapter_title' THEN 'chapter' WHEN 'section_title' THEN 'section' WHEN 'subsection_title' THEN 'subsection' WHEN 'scenario_title' THEN 'scenario' END AS stem, count(*) OVER (PARTITION BY book_id) AS many FROM f0),
+f AS (SELECT book_id, chunk, CASE WHEN many = 1 AND stem IS NULL THEN 'content.xhtml' ELSE coalesce(stem, 'section') || '-' || printf('%04d', row_number() OVER (PARTITION BY book_id, coalesce(stem, 'section') ORDER BY chunk)) || '.xhtml' END AS file FROM f1),
+chunks AS (SELECT * FROM c JOIN f USING (book_id, chunk))"""
+
+
+@query(f"""WITH {_OUTLINE},
+h0 AS (SELECT *, CASE WHEN kind = 'heading' AND lag(kind) OVER (PARTITION BY book_id, chunk ORDER BY node_pos) = 'heading' THEN 0 ELSE 1 END AS new, CASE WHEN level IS NULL THEN 0 ELSE 1 END AS ranked FROM chunks),
+h1 AS (SELECT *, sum(new) OVER (PARTITION BY book_id, chunk ORDER BY node_pos) AS run FROM h0),
+h2 AS (SELECT *, kind = 'heading' AND sum(ranked) OVER (PARTITION BY book_id, chunk, run ORDER BY node_pos DESC) <= 1 AS behind FROM h1)
+SELECT book_id, node_pos, chunk, file, behind AND count(*) FILTER (behind) OVER w >= 2 AND max(CASE WHEN behind THEN ranked ELSE 0 END) OVER w = 1 AS grouped FROM h2 WINDOW w AS (PARTITION BY book_id, chunk, run)""")
+def q80_spine_and_heading_groups(spark, d):
+    return X.grouped_headings(X.chunked(outline(spark, d))).select("book_id", "node_pos", "chunk", "file", "grouped")
+
+
+@query(f"""WITH {_OUTLINE},
+e0 AS (SELECT *, CASE role WHEN 'chapter_title' THEN 1 WHEN 'section_title' THEN 2 WHEN 'subsection_title' THEN 3 WHEN 'scenario_title' THEN CASE WHEN level BETWEEN 1 AND 6 THEN level ELSE 3 END END AS l FROM chunks),
+e1 AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY node_pos) AS i FROM e0 WHERE l IS NOT NULL),
+e AS (SELECT book_id, node_pos, file, l, (i + least(0, min(l - i) OVER (PARTITION BY book_id ORDER BY node_pos)))::INTEGER AS depth FROM e1)
+SELECT e.book_id, 'n' || e.node_pos AS target_id, 'Part d' || e.node_pos AS label, e.file, e.l::INTEGER AS level, e.depth, 'n' || p.node_pos AS parent FROM e ASOF LEFT JOIN e p ON e.book_id = p.book_id AND e.depth - 1 = p.depth AND e.node_pos > p.node_pos""")
+def q81_toc_entries(spark, d):
+    return K.toc_entries(X.chunked(outline(spark, d))).select("book_id", "target_id", "label", "file", "level", "depth", "parent")
+
+
+@query("""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), s AS (SELECT doc_id, unnest(range(len(l))) AS i, unnest(l) AS t FROM l),
+n AS (SELECT *, 1 + coalesce(sum(CASE WHEN (doc_id + i) % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line FROM s)
+SELECT doc_id, line::INTEGER AS line, count(*) AS spans, md5(string_agg(t, '|' ORDER BY i)) AS texts FROM n GROUP BY doc_id, line""")
+def q82_verse_lines(spark, d):
+    """Lines of verse blocks: a document is a block and its lines are spans, of which each third ends a line of verse."""
+    style = F.struct(F.lit("roman").alias("posture"), F.lit("normal").alias("weight"), F.lit("baseline").alias("vertical_position"), F.lit("normal").alias("caps_style"), F.array().cast("array<string>").alias("decorations"))
+    span = lambda t, i: F.struct(i.cast("string").alias("span_id"), t.alias("text"), F.lit("en").alias("language"), style.alias("source_typography"), ((F.col("doc_id") + i) % 3 == 0).alias("semantic_line_break_after"))
+    none = lambda kind: F.lit(None).cast(kind)
+    block = F.struct(F.lit("b").alias("block_id"), F.lit(0).alias("sequence_index"), F.lit("verse").alias("role_hint"), F.transform(F.split("text", "\n"), span).alias("content"), none("string").alias("dominant_language"), none("int").alias("heading_level_hint"), none("string").alias("heading_role_hint"), none(E.MARKER_TYPE).alias("marker"), none(E.REGION_TYPE).alias("region"), none("string").alias("alignment"))
+    rows = read(spark, d, "documents").where("text is not null").select("doc_id", F.concat(F.lit("p"), F.col("doc_id").cast("string")).alias("page_id"), block.cast(E.BLOCK_TYPE).alias("block"))
+    lines = rows.select("doc_id", F.posexplode(A.verse_lines(F.col("block"))).alias("n", "v"))
+    return lines.select("doc_id", (F.col("n") + 1).alias("line"), F.size("v.spans").cast("long").alias("spans"), F.md5(F.array_join(F.transform("v.spans", lambda s: s["text"]), "|").cast("binary")).alias("texts"))
