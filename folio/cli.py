@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.operators import analyzer, backup, buildmanifest, extraction, findings, frontmatter, golden, packaging, ready, rendering, report, review, reviewcache, runtime
+from folio.operators import analyzer, backup, buildmanifest, extraction, figures, findings, frontmatter, golden, packaging, ready, rendering, report, review, reviewcache, runtime
 from folio.sources import files, outputs, pageruns
 
 TABLES = ("nodes", "relationships", "resolved", "furniture", "unresolved", "candidates")
@@ -137,6 +137,15 @@ def assemble_book(spark: SparkSession, a: argparse.Namespace) -> int:
     return 0
 
 
+def crop_figures(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Cuts the figures of assembled books out of their page images by plug-ins; <out>/assets is what render-xhtml takes as --assets."""
+    made = figures.cropped(spark.read.parquet(f"{a.book}/nodes"), page_images(spark, a.images), _plugin(a.size), _plugin(a.crop))
+    made = _write(made, a.out, "figures")
+    _write(figures.assets(made), a.out, "assets")
+    print(json.dumps({"figures": made.count()}))
+    return 0
+
+
 def _books(spark: SparkSession, a: argparse.Namespace, ids: DataFrame) -> DataFrame:
     """Metadata of the books, from <metadata>/<book>.json, with what the command gives over it."""
     found = files.whole_files(spark, a.metadata, "*.json") if a.metadata else spark.createDataFrame([], "path string, text string")
@@ -174,7 +183,7 @@ def _qualified(spark: SparkSession, folder: str) -> str:
 def render_xhtml(spark: SparkSession, a: argparse.Namespace) -> int:
     nodes = _write(rendering.projected(spark.read.parquet(f"{a.book}/nodes"), spark.read.parquet(f"{a.book}/relationships")), a.out, "semantic")
     books = _write(_books(spark, a, nodes.select("book_id").distinct()), a.out, "books")
-    documents, assets = rendering.rendered(nodes, books), _maybe(spark, f"{a.assets}") if a.assets else None
+    documents, assets = rendering.rendered(nodes, books), _maybe(spark, a.assets) if a.assets else None
     covers = _cover_images(spark, a, books)
     if covers is not None:
         front, image = frontmatter.cover_documents(books, covers)
@@ -425,6 +434,9 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--validate", action="store_true")
     action("validate-epub", validate_epub, "epubs")
     action("prepare-proof", prepare_proof, "ready", "proof").add_argument("--force", action="store_true")
+    crop = action("crop-figures", crop_figures, "book", "images", "out")
+    crop.add_argument("--size", required=True, metavar="MODULE:FUNCTION", help="gives width and height of an image")
+    crop.add_argument("--crop", required=True, metavar="MODULE:FUNCTION", help="gives a part of an image as PNG")
     kept = action("backup-book", backup_book, "ready", "proof", "out", "work")
     kept.add_argument("--metadata")
     kept.add_argument("--review")

@@ -61,3 +61,12 @@ def jpeg(image):
     if image == b"spoilt":
         raise ValueError("spoilt")
     return b"jpeg of " + image
+
+
+def size(image):
+    width, height = image.decode().split("x")
+    return int(width), int(height)
+
+
+def crop(image, box):
+    return f"{image.decode()} {box}".encode()
