@@ -105,11 +105,13 @@ def translations(nodes: DataFrame, by: list[str], order: list[str]) -> DataFrame
 
 def nearest_known(rows: DataFrame, by: list[str], order: str, value: str) -> DataFrame:
     """Fills value from the nearest row that knows it, ties to the lower one."""
-    w = Window.partitionBy(*by).orderBy(order)
+    up, down = (Window.partitionBy(*by).orderBy(o).rangeBetween(Window.unboundedPreceding, 0) for o in (F.asc(order), F.desc(order)))
     here = F.when(F.col(value).isNotNull(), F.struct(F.col(order).alias("at"), F.col(value).alias("v")))
-    rows = rows.withColumn("_b", F.last(here, True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_a", F.first(here, True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    # Both sides are looked up by running from an end: a frame up to the other end is read anew for each row.
+    rows = rows.withColumn("_b", F.last(here, True).over(up)).withColumn("_a", F.last(here, True).over(down))
     lower = F.col("_a").isNull() | (F.col(order) - F.col("_b.at") <= F.col("_a.at") - F.col(order))
-    return rows.withColumn("nearest", F.when(F.col("_b").isNotNull() & lower, F.col("_b.v")).otherwise(F.col("_a.v"))).drop("_a", "_b")
+    near = F.when(F.col("_b").isNotNull() & lower, F.col("_b.v")).otherwise(F.col("_a.v"))
+    return rows.withColumn("nearest", F.coalesce(F.col(value), near)).drop("_a", "_b")
 
 
 def toc_depth(headings: DataFrame, by: list[str], order: list[str]) -> DataFrame:

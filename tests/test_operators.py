@@ -167,3 +167,16 @@ def test_digits_behind_letters(spark):
     assert all(want(t) == v for t, v in texts.items())
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
     assert {r.t: r.p for r in rows.select("t", D.boundary_places(F.col("t")).alias("p")).collect()} == texts
+
+
+def frames(df):
+    return df._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_nearest_known_reads_each_row_once(spark):
+    data = [("a", 1, None), ("a", 2, "x"), ("a", 4, None), ("a", 6, "y"), ("a", 7, None), ("a", 7, "z"), ("a", 9, None), ("b", 1, None)]
+    out = W.nearest_known(spark.createDataFrame(data, "book string, at int, v string"), ["book"], "at", "v")
+    # A frame that reaches to the end is read anew for each row, which takes time with the square of a book.
+    assert "unboundedfollowing" not in frames(out)
+    got = sorted((r.book, r.at, r.v, r.nearest) for r in out.fillna("-", ["v"]).collect())
+    assert got == [("a", 1, "-", "x"), ("a", 2, "x", "x"), ("a", 4, "-", "x"), ("a", 6, "y", "y"), ("a", 7, "-", "z"), ("a", 7, "z", "z"), ("a", 9, "-", "z"), ("b", 1, "-", None)]
