@@ -152,9 +152,9 @@ def recovered(failed: DataFrame, readings: DataFrame, languages: DataFrame) -> D
     known = languages.where("language is not null").select("book_id", F.col("page_number").alias("_at"), "language")
     # The nearest on either side: one merged order of both, no pairs of pages.
     both = lost.select("book_id", "page_number", F.lit(None).cast("string").alias("language"), F.lit(1).alias("_ask")).unionByName(known.select("book_id", F.col("_at").alias("page_number"), "language", F.lit(0).alias("_ask")))
-    w = Window.partitionBy("book_id").orderBy("page_number")
+    up, down = (Window.partitionBy("book_id").orderBy(o).rangeBetween(Window.unboundedPreceding, 0) for o in (F.asc("page_number"), F.desc("page_number")))
     here = F.when(F.col("language").isNotNull(), F.struct(F.col("page_number").alias("at"), "language"))
-    sided = both.withColumn("_b", F.last(here, True).over(w.rangeBetween(Window.unboundedPreceding, 0))).withColumn("_a", F.first(here, True).over(w.rangeBetween(0, Window.unboundedFollowing))).where("_ask = 1")
+    sided = both.withColumn("_b", F.last(here, True).over(up)).withColumn("_a", F.last(here, True).over(down)).where("_ask = 1")
     lower = F.col("_a").isNull() | (F.col("page_number") - F.col("_b.at") <= F.col("_a.at") - F.col("page_number"))
     near = sided.select("book_id", "page_number", F.when(F.col("_b").isNotNull() & lower, F.col("_b.language")).otherwise(F.col("_a.language")).alias("language")).distinct()
     notes = F.array(F.lit("text recovered by local OCR after the provider declined to recite"), F.lit("typography and structure are unknown"))

@@ -180,3 +180,12 @@ def test_nearest_known_reads_each_row_once(spark):
     assert "unboundedfollowing" not in frames(out)
     got = sorted((r.book, r.at, r.v, r.nearest) for r in out.fillna("-", ["v"]).collect())
     assert got == [("a", 1, "-", "x"), ("a", 2, "x", "x"), ("a", 4, "-", "x"), ("a", 6, "y", "y"), ("a", 7, "-", "z"), ("a", 7, "z", "z"), ("a", 9, "-", "z"), ("b", 1, "-", None)]
+
+
+def test_recovered_language_reads_each_row_once(spark):
+    lost = spark.createDataFrame([("a", "p3", 3, "recitation"), ("a", "p6", 6, "recitation"), ("b", "p1", 1, "recitation")], "book_id string, page_id string, page_number long, reason string")
+    readings = lost.select("book_id", "page_id", F.lit("x").alias("reading"))
+    known = spark.createDataFrame([("a", 1, "en"), ("a", 5, "de"), ("a", 8, "fr")], "book_id string, page_number long, language string")
+    out = R.recovered(lost, readings, known)
+    assert "unboundedfollowing" not in frames(out)
+    assert sorted((r.page_id, r.language) for r in out.fillna("-", ["language"]).collect()) == [("p1", "-"), ("p3", "en"), ("p6", "de")]
