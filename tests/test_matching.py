@@ -72,3 +72,23 @@ def test_figures_and_windows(spark):
     assert {(r.node_id, r.uri) for r in X.figure_sources(nodes, images).collect()} == {("n1", "file:/p.jpg"), ("n2", None)}
     events = spark.sql("select timestamp'2024-01-01 00:10:00' as ts, 'a' as event_type union all select timestamp'2024-01-01 00:59:59', 'a' union all select timestamp'2024-01-01 01:00:00', 'a' union all select timestamp'2024-01-01 00:00:00', 'b'")
     assert {(r.start.hour, r.event_type, r.events) for r in I.windowed_counts(events).collect()} == {(0, "a", 2), (1, "a", 1), (0, "b", 1)}
+
+
+def test_parts_of_long_texts_are_not_read_again_for_each_edit(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    a = " ".join(rng.choice(words) for _ in range(4000))
+    b = a.replace(" a", " ä").replace("bc", "")
+    read, whole = [], M.longest
+    monkeypatch.setattr(M, "longest", lambda x, y: read.append(len(x)) or whole(x, y))
+    assert sum(k for _, _, k in M.matching_blocks(a, b)) > 0.8 * len(a)
+    assert sum(read) <= len(a)
+
+
+def test_runs_agree_with_the_library():
+    rng = random.Random(6)
+    for _ in range(60):
+        letters = rng.choice(("ab", "abc ", "abcdefghij ", "aé😀\udc00 "))
+        a = "".join(rng.choice(letters) for _ in range(rng.randint(0, 400)))
+        b = a[: rng.randint(0, len(a))] + rng.choice(letters) * rng.randint(0, 5) + a[rng.randint(0, len(a)) :] + a[:50]
+        assert M.matching_blocks(a, b) == [tuple(x) for x in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks() if x[2]]
