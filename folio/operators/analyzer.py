@@ -64,14 +64,17 @@ def physical_number(page_number: Column, printed: Column) -> Column:
 
 
 def ordered_pages(pages: DataFrame) -> DataFrame:
-    """pages with page_index, from 0 in each book, and physical."""
-    w = Window.partitionBy("book_id").orderBy("page_pos")
-    return pages.select("book_id", "page", F.col("page.page_id").alias("page_id"), (F.row_number().over(w) - 1).alias("page_index"), physical_number(F.col("page_number"), F.col("page.printed_page_number")).alias("physical"))
+    """pages with page_index, from 0 in each book, physical, and at, by which they are dealt. Only the places go through one window a book."""
+    rows = pages.withColumn("at", F.struct("book_id", "page_pos"))
+    w = Window.partitionBy("at.book_id").orderBy("at.page_pos").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("at").agg(F.count("*").alias("_n")).select("at", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    index = (F.col("_before") + F.row_number().over(Window.partitionBy("at").orderBy("at")) - 1).cast("int")
+    return rows.join(before, "at").select("book_id", "page", F.col("page.page_id").alias("page_id"), index.alias("page_index"), physical_number(F.col("page_number"), F.col("page.printed_page_number")).alias("physical"), "at")
 
 
 def _blocks(pages: DataFrame) -> DataFrame:
     b = F.col("block")
-    rows = pages.select("book_id", "page_id", "page_index", "physical", F.col("page.printed_page_number").alias("printed"), F.posexplode("page.blocks").alias("seq", "block"))
+    rows = pages.select("book_id", "at", "page_id", "page_index", "physical", F.col("page.printed_page_number").alias("printed"), F.posexplode("page.blocks").alias("seq", "block"))
     return rows.select("*", b["block_id"].alias("block_id"), b["role_hint"].alias("role"), b["dominant_language"].alias("language"), block_text(b).alias("text"))
 
 
@@ -86,27 +89,46 @@ def furniture(blocks: DataFrame) -> DataFrame:
     return out.select("book_id", "page_index", "seq", "page_id", "block_id", "role", F.col("text").alias("raw_text"), "normalized_text", F.coalesce("_again", F.lit(False)).alias("repeated"))
 
 
+def _list_goes_on(last: Column, first: Column) -> Column:
+    """Whether the list of a block (role, ordered, ordinal) goes on in the next."""
+    in_turn = F.coalesce(~first["ordered"] | (last["ordinal"] + 1 == first["ordinal"]), F.lit(True))
+    return F.coalesce(first["role"].isin(*LISTS) & last["role"].isin(*LISTS) & (last["ordered"] == first["ordered"]) & in_turn, F.lit(False))
+
+
 def positions(blocks: DataFrame) -> DataFrame:
-    """Blocks besides furniture, numbered in reading order, with node_no (the node they belong to), node_type, and resolved."""
-    w = Window.partitionBy("book_id").orderBy("page_index", "seq")
-    body = blocks.where(~F.col("role").isin(*FURNITURE)).withColumn("pos", F.row_number().over(w))
-    lag = lambda c: F.lag(c).over(w)
+    """Blocks besides furniture, numbered in reading order, with node_no (the node they belong to), node_type, and resolved.
+
+    Windows over blocks are those of a page; what goes on from page to page is one narrow row a page.
+    """
+    page = ("at", "page_index")
+    w = Window.partitionBy(*page).orderBy("seq")
     ordered = F.coalesce(F.col("block.marker.kind").isin("numeric", "alphabetic"), F.lit(False))
-    body = body.withColumn("ordered", ordered).withColumn("ordinal", F.col("block.marker.ordinal"))
-    same_page = lag("page_index") == F.col("page_index")
-    follows = same_page | F.coalesce(lag("physical") + 1 == F.col("physical"), F.lit(False))
-    in_turn = F.coalesce(~F.col("ordered") | (lag("ordinal") + 1 == F.col("ordinal")), F.lit(True))
-    list_on = F.col("role").isin(*LISTS) & lag("role").isin(*LISTS) & follows & (lag("ordered") == F.col("ordered")) & in_turn
-    alike = same_page & (lag("role") == F.col("role"))
-    coarse = body.withColumn("_list", F.coalesce(list_on, F.lit(False))).withColumn("_alike", F.coalesce(alike, F.lit(False))).withColumn("_caption", F.coalesce(same_page & (F.col("role") == "caption") & (lag("role") == "image"), F.lit(False)))
-    coarse = coarse.withColumn("_of_region", F.col("_caption") & F.lag(F.col("block.region").isNotNull()).over(w))
+    body = blocks.where(~F.col("role").isin(*FURNITURE)).withColumn("_place", F.row_number().over(w)).withColumn("ordered", ordered).withColumn("ordinal", F.col("block.marker.ordinal"))
+    lag = lambda c: F.lag(c).over(w)
+    item = F.struct("role", "ordered", "ordinal")
+    alike = F.coalesce(lag("role") == F.col("role"), F.lit(False))
+    caption = F.coalesce((F.col("role") == "caption") & (lag("role") == "image"), F.lit(False))
+    coarse = body.withColumn("_item", item).withColumn("_alike", alike).withColumn("_caption", caption).withColumn("_list", _list_goes_on(lag("_item"), F.col("_item")))
+    coarse = coarse.withColumn("_of_region", F.col("_caption") & lag(F.col("block.region").isNotNull()))
     # Quotations: runs of a page, split where two known languages that follow each other differ.
     coarse = coarse.withColumn("_run", F.sum((~F.col("_alike")).cast("int")).over(w))
-    known = F.last("language", True).over(Window.partitionBy("book_id", "_run").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
-    other_language = F.coalesce(known != F.col("language"), F.lit(False))
+    # The order of runs is that of blocks: one sort serves all windows.
+    known = F.last(F.when(F.col("language").isNotNull(), F.struct("_run", "language")), True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    coarse = coarse.withColumn("_known", known)
+    other_language = F.coalesce((F.col("_known._run") == F.col("_run")) & (F.col("_known.language") != F.col("language")), F.lit(False))
     joins = F.col("_list") | F.col("_caption") | ((F.col("role") == "verse") & F.col("_alike")) | ((F.col("role") == "quote") & F.col("_alike") & ~other_language)
+    coarse = coarse.withColumn("_new", F.when(F.col("_place") == 1, 0).otherwise((~joins).cast("int"))).withColumn("_in", F.sum("_new").over(w))
+    # A page's first block goes on with the list at the end of the page before.
+    ends = coarse.groupBy(*page, "book_id").agg(F.count("*").alias("_blocks"), F.sum("_new").alias("_news"), F.min("physical").alias("_physical"), F.min_by("_item", "seq").alias("_first"), F.max_by("_item", "seq").alias("_last"))
+    b = Window.partitionBy("book_id").orderBy("page_index")
+    follows = F.coalesce(F.lag("_physical").over(b) + 1 == F.col("_physical"), F.lit(False))
+    ends = ends.withColumn("_starts", (~(follows & _list_goes_on(F.lag("_last").over(b), F.col("_first")))).cast("int"))
+    ends = ends.select("at", F.col("page_index").alias("_index"), "_physical", (F.sum("_blocks").over(b) - F.col("_blocks")).alias("_before"), (F.sum(F.col("_news") + F.col("_starts")).over(b) - F.col("_news")).alias("_node"))
+    # Blocks lie by at already; as keys of the join, the others would have them dealt anew. Both sides read the same columns, and so one exchange.
+    placed = coarse.join(ends, "at").where("page_index - _index = 0 and coalesce(physical - _physical, 0) = 0").withColumn("pos", (F.col("_before") + F.col("_place")).cast("int"))
     kind = F.when(F.col("role").isin(*LISTS), "list").when(F.col("role") == "quote", "quotation").when(F.col("role") == "verse", "verse").when((F.col("role") == "image") & F.col("block.region").isNotNull() | F.col("_of_region"), "figure").when(F.col("role").isin(*SINGLE), F.col("role"))
-    return coarse.withColumn("_new", (~joins).cast("int")).withColumn("node_no", F.sum("_new").over(w)).withColumn("node_type", kind).drop("_list", "_alike", "_caption", "_of_region", "_run", "_new")
+    made = placed.withColumn("node_no", F.col("_node") + F.col("_in")).withColumn("node_type", kind)
+    return made.drop("_list", "_alike", "_caption", "_of_region", "_run", "_known", "_new", "_in", "_place", "_item", "_index", "_physical", "_before", "_node")
 
 
 def verse_lines(block: Column) -> Column:
@@ -194,14 +216,16 @@ def linked(pairs: DataFrame, *keep: str) -> DataFrame:
 def continuations(pages: DataFrame, placed: DataFrame) -> DataFrame:
     """Candidates (book_id, page_index, relationship_id, kind, source_id, target_id, confidence, reasons) from a page's last block
     to the first of the next, where their physical numbers follow."""
-    head = F.first("block_id").over(Window.partitionBy("book_id", "node_no").orderBy("pos"))
+    # A node that goes on over pages is a list, whose items stand for themselves.
+    head = F.first("block_id").over(Window.partitionBy("at", "page_index", "node_no").orderBy("pos"))
     named = placed.withColumn("node_id", F.concat(head, F.lit(":node:"), F.col("node_type")))
     edge = F.struct("block", "role", _node_of_block(F.col("role"), F.col("block"), F.col("node_id")).alias("node_id"))
-    ends = named.groupBy("book_id", "page_index").agg(F.max_by(edge, F.when(F.col("role") != "footnote", F.col("pos"))).alias("left"), F.min_by(edge, F.col("pos")).alias("right"))
+    ends = named.groupBy("at", "book_id", "page_index").agg(F.max_by(edge, F.when(F.col("role") != "footnote", F.col("pos"))).alias("left"), F.min_by(edge, F.col("pos")).alias("right"))
     w = Window.partitionBy("book_id").orderBy("page_index")
-    both = pages.select("book_id", "page_index", "physical").join(ends, ["book_id", "page_index"], "left")
-    pair = both.select("book_id", "page_index", "left", F.lead("right").over(w).alias("right"), (F.lead("physical").over(w) == F.col("physical") + 1).alias("next"))
-    return linked(pair.where("next"), "page_index")
+    followed = pages.select("book_id", "page_index", (F.lead("physical").over(w) == F.col("physical") + 1).alias("next")).where("next").select("book_id", "page_index")
+    nxt = ends.select("book_id", (F.col("page_index") - 1).alias("page_index"), "right")
+    pair = ends.select("book_id", "page_index", "left").join(followed, ["book_id", "page_index"]).join(nxt, ["book_id", "page_index"])
+    return linked(pair, "page_index")
 
 
 def _spans_text(spans: Column) -> Column:
@@ -232,10 +256,11 @@ def resolved_chains(flow: DataFrame, links: DataFrame) -> tuple[DataFrame, DataF
     """
     w = Window.partitionBy("book_id").orderBy("node_pos")
     edge = links.select("book_id", F.col("target_id").alias("node_id"), F.struct("source_id", "relationship_id", (F.col("confidence") >= MOST_SCORE).alias("full"), ((F.col("confidence") >= MOST_SCORE) | ((F.col("confidence") >= LEXICAL_SCORE) & (F.size(F.array_except(F.array(*map(F.lit, (ENDS_OPEN, STARTS_LOW, ONE_LANGUAGE))), "reasons")) == 0))).alias("enough")).alias("edge"))
-    rows = flow.join(edge, ["book_id", "node_id"], "left")
     is_list, is_paragraph = F.col("node_type") == "list", F.col("node_type") == "paragraph"
     tail = F.when(is_list, F.element_at("children", -1)["node_id"]).otherwise(F.col("node_id"))
-    rows = rows.withColumn("_tail", tail).withColumn("_strict", F.coalesce(is_paragraph & F.col("edge.full") & (F.col("edge.source_id") == F.lag("_tail").over(w)), F.lit(False)))
+    # Windows of a book see no content, only what tells where a node belongs.
+    rows = flow.select("book_id", "node_pos", "node_id", "node_type", tail.alias("_tail")).join(edge, ["book_id", "node_id"], "left")
+    rows = rows.withColumn("_strict", F.coalesce(is_paragraph & F.col("edge.full") & (F.col("edge.source_id") == F.lag("_tail").over(w)), F.lit(False)))
     rows = rows.withColumn("_list_no", F.sum(is_list.cast("int")).over(w))
     unbroken = F.min((is_list | F.col("_strict")).cast("int")).over(Window.partitionBy("book_id", "_list_no").orderBy("node_pos"))
     rows = rows.withColumn("_in_list", is_paragraph & (F.col("_list_no") > 0) & (unbroken == 1))
@@ -250,8 +275,11 @@ def resolved_chains(flow: DataFrame, links: DataFrame) -> tuple[DataFrame, DataF
     rows = rows.withColumn("_head", F.coalesce(head, F.lit(0)))
     used = rows.where(F.col("_in_list") | F.col("_on")).select("book_id", "edge.relationship_id")
     apart = F.col("node_type") == "footnote"
+    order = Window.partitionBy("book_id").orderBy("_head", "_apart", "_key")
+    rows = rows.withColumn("_apart", apart).withColumn("_key", F.when(apart, F.col("node_pos")).otherwise(F.col("_head")))
+    placed = rows.select(F.struct("book_id", "node_pos").alias("_at"), F.dense_rank().over(order).alias("_place"))
     part = F.struct("node_pos", "node_id", "spans", "provenance")
-    gathered = rows.withColumn("_key", F.when(apart, F.col("node_pos")).otherwise(F.col("_head"))).groupBy("book_id", "_key", apart.alias("_apart")).agg(F.min("_head").alias("_head"), F.min_by(F.struct(*flow.columns), "node_pos").alias("n"), F.sort_array(F.collect_list(part)).alias("parts"))
+    gathered = flow.withColumn("_at", F.struct("book_id", "node_pos")).join(placed, "_at").groupBy("book_id", "_place").agg(F.min_by(F.struct(*flow.columns), "node_pos").alias("n"), F.sort_array(F.collect_list(part)).alias("parts"))
     rest = F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0)))
     more = F.flatten(F.transform(rest, lambda p: p["provenance"]))
     kids = F.col("n.children")
@@ -259,8 +287,7 @@ def resolved_chains(flow: DataFrame, links: DataFrame) -> tuple[DataFrame, DataF
     item = F.struct(last["node_id"].alias("node_id"), last["node_type"].alias("node_type"), last["ordinal"].alias("ordinal"), last["marker"].alias("marker"), _stitched(last["node_id"], last["spans"], rest).alias("spans"), F.concat(last["provenance"], more).alias("provenance"))
     grown = F.when((F.col("n.node_type") == "list") & (F.size(rest) > 0), F.concat(F.slice(kids, 1, F.size(kids) - 1), F.array(item))).otherwise(kids)
     text = F.when(F.col("n.node_type") == "paragraph", _stitched(F.col("n.node_id"), F.col("n.spans"), rest)).otherwise(F.col("n.spans"))
-    order = Window.partitionBy("book_id").orderBy("_head", "_apart", "_key")
-    changed = {"node_pos": F.row_number().over(order), "children": grown, "spans": text, "provenance": F.concat("n.provenance", more)}
+    changed = {"node_pos": F.col("_place"), "children": grown, "spans": text, "provenance": F.concat("n.provenance", more)}
     return gathered.select(*(changed.get(c, F.col(f"n.{c}")).alias(c) for c in flow.columns)), used
 
 
@@ -304,8 +331,8 @@ def neighbour_links(flow: DataFrame) -> DataFrame:
 
 def inset_candidates(placed: DataFrame) -> DataFrame:
     """Genre labels, which may open embedded material; with the heading before them on the page, if there is one."""
-    w = Window.partitionBy("book_id").orderBy("pos")
-    headed = F.coalesce((F.lag("page_index").over(w) == F.col("page_index")) & (F.lag("role").over(w) == "heading"), F.lit(False))
+    w = Window.partitionBy("at", "page_index").orderBy("pos")
+    headed = F.coalesce(F.lag("role").over(w) == "heading", F.lit(False))
     rows = placed.withColumn("headed", headed).withColumn("prev", F.lag("block_id").over(w)).where("role = 'heading' and block.heading_role_hint = 'genre_label'")
     ids = F.when(F.col("headed"), F.array("prev", "block_id")).otherwise(F.array("block_id"))
     reasons = F.when(F.col("headed"), F.array(*map(F.lit, INSET_REASONS))).otherwise(F.array(F.lit(INSET_REASONS[0])))
