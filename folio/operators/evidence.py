@@ -39,6 +39,9 @@ REGION_TYPE = "struct<x:double,y:double,width:double,height:double>"
 BLOCK_TYPE = f"struct<block_id:string,sequence_index:int,role_hint:string,content:array<{SPAN_TYPE}>,dominant_language:string,heading_level_hint:int,heading_role_hint:string,marker:{MARKER_TYPE},region:{REGION_TYPE},alignment:string>"
 PAGE_TYPE = f"struct<page_id:string,page_kind_hint:string,dominant_language:string,printed_page_number:string,blocks:array<{BLOCK_TYPE}>,warnings:array<string>>"
 
+#: Rows of a batch that are judged together.
+SLICE = 64
+
 Check = Callable[[Any, str], Iterator[str]]
 
 
@@ -211,7 +214,8 @@ def _with_judgement(rows: DataFrame, columns: list[str], judge: Callable[..., tu
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # Pages become Python objects a few at a time.
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             got = [judge(*args) for args in zip(*(batch.column(n + i).to_pylist() for i in range(len(columns))), strict=True)]
             extra = [pa.array([v for v, _ in got], pa.list_(pa.string())), pa.array([None if p is None else json.dumps(p, ensure_ascii=False) for _, p in got], pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *extra], [*batch.schema.names[:n], "violations", "page_json"])
