@@ -173,3 +173,28 @@ def test_digest_of_kept_bytes(spark):
     got = [(r.doc_id, r.n_removed, r.kept_sha256) for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
     assert sorted(got, key=repr) == sorted([(1, 0, sha("a" * 200000)), (2, 0, sha(part)), (2, 0, sha(part)), (3, 60, sha("xy")), (None, 0, sha(part)), (4, 0, sha(""))], key=repr)
+
+
+def test_edit_distances_up_to_a_bound():
+    """Pairs within the bound keep their distance, others get a number over it; few pairs are computed one by one."""
+    rng = random.Random(4)
+    left = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(0, 200))) for _ in range(300)]
+    right = ["".join(c if rng.random() < 0.85 else rng.choice("abcdé") for c in x) if i % 2 else "".join(rng.choice("xyz") for _ in x) for i, x in enumerate(left)]
+    want = editdistance.distances(left, right)
+    most = np.array([max(len(x), len(y)) // 5 for x, y in zip(left, right, strict=True)])
+    assert 50 < (want <= most).sum() < 250
+    for take in (range(300), range(3), range(7, 9)):
+        got = editdistance.distances([left[i] for i in take], [right[i] for i in take], most[list(take)])
+        assert [min(g, m + 1) for g, m in zip(got.tolist(), most[list(take)].tolist(), strict=True)] == [min(w, m + 1) for w, m in zip(want[list(take)].tolist(), most[list(take)].tolist(), strict=True)]
+    assert not (lines._may_be_close(left, right, most) < (want <= most)).any() and not lines._may_be_close(left, right, most).all()
+
+
+def test_lines_of_a_bucket_are_told_apart_by_their_counts():
+    """Lines too short for a SimHash that share a passage: before, all their pairs were put out and verified."""
+    passage = "some words of a passage here"
+    texts = [f"{passage} {c * 12} {c * 9}" for c in "abcdefghijklmnopqrstuvwxyz"] + [f"{passage} {'a' * 12} {'a' * 8}b"]
+    _, _, _, _, chars, _, features, sim, more_sim, bag, two, _, _ = lines._signatures(texts)
+    table = np.zeros(len(texts), lines._SIG)
+    table["chars"], table["bag"], table["two"] = chars, bag, two
+    found = [tuple(sorted(p)) for i, j in lines._near([r.tobytes() for r in table], np.arange(len(texts))) for p in zip(i.tolist(), j.tolist(), strict=True)]
+    assert found == [(0, 26)]
