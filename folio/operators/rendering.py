@@ -154,19 +154,22 @@ def node_markup(language: Column, indent: str = "    ") -> Column:
 
 def chunked(nodes: DataFrame) -> DataFrame:
     """Projected nodes besides footnotes with chunk (from 1) and file. A chunk starts at a label, and at any other heading
-    but a subtitle unless a label stands right before it; its file is named after the title that follows its labels."""
+    but a subtitle unless a label stands right before it; its file is named after the title that follows its labels. The window over a book
+    sees places and roles only, and content is joined by its place: nodes are read twice, so give it a table that was written."""
     w = Window.partitionBy("book_id").orderBy("node_pos")
     is_heading = F.col("node_type") == "heading"
     label = F.coalesce(is_heading & F.col("role").isin(*LABEL_ROLES), F.lit(False))
     starts = F.coalesce(is_heading & ~F.col("role").isin(*UNRANKED_ROLES), F.lit(False))
-    rows = nodes.where("node_type <> 'footnote'").withColumn("_label", label).withColumn("_starts", starts)
+    body = nodes.where("node_type <> 'footnote'")
+    rows = body.select("book_id", "node_pos", "node_type", "role").withColumn("_label", label).withColumn("_starts", starts)
     cut = F.row_number().over(w).eqNullSafe(1) | F.col("_label") | (F.col("_starts") & ~F.lag("_label").over(w))
     rows = rows.withColumn("chunk", F.sum(cut.cast("int")).over(w))
     first = rows.groupBy("book_id", "chunk").agg(F.min_by(F.struct("node_type", "role"), F.when(~F.col("_label"), F.col("node_pos"))).alias("f"))
     stem = F.when(F.col("f.node_type") == "heading", chosen(F.col("f.role"), STEMS))
     named = first.withColumn("_stem", stem).withColumn("_n", F.count("*").over(Window.partitionBy("book_id"))).withColumn("_k", F.row_number().over(Window.partitionBy("book_id", F.coalesce("_stem", F.lit("section"))).orderBy("chunk")))
     file = F.when((F.col("_n") == 1) & F.col("_stem").isNull(), "content.xhtml").otherwise(F.concat(F.coalesce("_stem", F.lit("section")), F.lit("-"), F.format_string("%04d", "_k"), F.lit(".xhtml")))
-    return rows.drop("_label", "_starts").join(named.select("book_id", "chunk", file.alias("file")), ["book_id", "chunk"])
+    placed = rows.select("book_id", "node_pos", "chunk").join(named.select("book_id", "chunk", file.alias("file")), ["book_id", "chunk"])
+    return body.join(placed, ["book_id", "node_pos"])
 
 
 def grouped_headings(chunks: DataFrame) -> DataFrame:

@@ -2,16 +2,39 @@
 
 from __future__ import annotations
 
+import atexit
 import hashlib
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; a temporary folder only where it is unset and the master is local."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    root = tempfile.mkdtemp(prefix="folio-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", root)
+    return root
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """rows, written to a table of its own in the shared folder and read back: for what several steps read whose plan is long."""
+    path = f"{shared_root(rows.sparkSession)}/folio-{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _folder(root: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(root if "://" in root or root.startswith("file:/") else f"file://{root}")
 

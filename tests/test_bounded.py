@@ -1,9 +1,12 @@
 """Steps that took time or memory beyond the size of their rows."""
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from folio.operators import findings as D
+from folio.operators import rendering as X
 
 
 class Rows:
@@ -34,3 +37,12 @@ def test_pages_become_python_objects_a_few_at_a_time(spark):
     batch = pa.RecordBatch.from_arrays([pa.array(["b"] * 300), pa.array([f"p{i}" for i in range(300)]), pa.array(range(300), pa.int64()), pa.array([None] * 300, pa.list_(pa.string()))], ["book_id", "page_id", "page_number", "blocks"])
     sizes = [b.num_rows for b in D.projections(Rows()).run(iter([batch]))]
     assert sum(sizes) == 300 and max(sizes) <= D.SLICE
+
+
+def test_windows_over_a_book_see_no_content(spark):
+    nodes = spark.createDataFrame([("b", i, f"n{i}", "heading" if i % 3 == 0 else "paragraph", "chapter_title", "text" * 9) for i in range(9)], "book_id string, node_pos long, node_id string, node_type string, role string, content string")
+    chunks = X.chunked(nodes)
+    plan = chunks._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    inputs = re.findall(r"\) Window\nInput \[\d+\]: \[(.*)\]", plan)
+    assert inputs and not any("content" in i for i in inputs)
+    assert [(r.node_pos, r.chunk, r.file) for r in chunks.orderBy("node_pos").collect()] == [(i, i // 3 + 1, f"chapter-000{i // 3 + 1}.xhtml") for i in range(9)]
