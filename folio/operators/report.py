@@ -6,6 +6,8 @@ findings as a whole, so marks never cross; a segment names all findings that cov
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,14 +26,21 @@ const d={book_id:document.body.dataset.book,finding_id:a.id,decision:c.value};if
 document.addEventListener('change',()=>{const b=new Blob([JSON.stringify(decisions(),null,2)],{type:'application/json'});document.getElementById('save').href=URL.createObjectURL(b);});"""
 
 
+def _with(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def segments(size: Column, ranges: Column) -> Column:
     """Segments (start, end, ids) of a text of a size, in order and without gaps, cut wherever a range (start, end, id) begins or ends. Ends
     outside the text are moved to it; an empty range cuts, and covers nothing."""
-    inside = lambda c: F.greatest(F.lit(0), F.least(c, size))
-    held = F.transform(ranges, lambda r: F.struct(inside(r["start"]).alias("start"), F.greatest(inside(r["start"]), inside(r["end"])).alias("end"), r["id"].alias("id")))
-    cuts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0), size), F.transform(held, lambda r: r["start"]), F.transform(held, lambda r: r["end"]))))
-    between = F.zip_with(F.slice(cuts, 1, F.greatest(F.size(cuts) - 1, F.lit(0))), F.slice(cuts, 2, F.greatest(F.size(cuts) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("start"), b.alias("end")))
-    return F.transform(between, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.array_sort(F.transform(F.filter(held, lambda r: (r["start"] <= s["start"]) & (r["end"] >= s["end"])), lambda r: r["id"])).alias("ids")))
+    inside = lambda c, n: F.greatest(F.lit(0), F.least(c, n))
+    held = lambda n: F.transform(ranges, lambda r: F.struct(inside(r["start"], n).alias("start"), F.greatest(inside(r["start"], n), inside(r["end"], n)).alias("end"), r["id"].alias("id")))
+    cuts = lambda n, h: F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0), n), F.transform(h, lambda r: r["start"]), F.transform(h, lambda r: r["end"]))))
+    between = lambda c: F.zip_with(F.slice(c, F.lit(1), F.greatest(F.size(c) - 1, F.lit(0))), F.slice(c, F.lit(2), F.greatest(F.size(c) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("start"), b.alias("end")))
+    covering = lambda h, s: F.array_sort(F.transform(F.filter(h, lambda r: (r["start"] <= s["start"]) & (r["end"] >= s["end"])), lambda r: r["id"]))
+    named = lambda c, h: F.transform(between(c), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), covering(h, s).alias("ids")))
+    return _with(size, lambda n: _with(held(n), lambda h: _with(cuts(n, h), lambda c: named(c, h))))
 
 
 def _part(text: Column, start: Column, end: Column) -> Column:

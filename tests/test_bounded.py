@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folio.operators import findings as D
 from folio.operators import rendering as X
+from folio.operators import report as P
 
 
 class Rows:
@@ -46,3 +47,11 @@ def test_windows_over_a_book_see_no_content(spark):
     inputs = re.findall(r"\) Window\nInput \[\d+\]: \[(.*)\]", plan)
     assert inputs and not any("content" in i for i in inputs)
     assert [(r.node_pos, r.chunk, r.file) for r in chunks.orderBy("node_pos").collect()] == [(i, i // 3 + 1, f"chapter-000{i // 3 + 1}.xhtml") for i in range(9)]
+
+
+def test_segments_take_the_size_of_a_text_once(spark):
+    ranges = F.array(*(F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), F.lit(f"f{a}").alias("id")) for a, b in ((1, 3), (2, 9))))
+    rows = spark.createDataFrame([("word",), (None,)], "text string").select("text", P.segments(F.length("text"), ranges).alias("s"))
+    assert rows._jdf.queryExecution().analyzed().toString().count("length(text") == 1
+    got = {r.text: [tuple(x) for x in r.s] for r in rows.collect() if r.text}
+    assert got == {"word": [(0, 1, []), (1, 2, ["f1"]), (2, 3, ["f1", "f2"]), (3, 4, ["f2"])]}
