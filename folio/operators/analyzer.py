@@ -83,7 +83,9 @@ def furniture(blocks: DataFrame) -> DataFrame:
     repeated: the same text in the same role on two pages of the book. Page numbers and empty texts never repeat."""
     flat = collapse(F.col("text"))
     norm = F.when(F.col("role") == "page_number", flat).otherwise(without_page_number(flat, F.col("printed")))
-    rows = blocks.where(F.col("role").isin(*FURNITURE)).withColumn("normalized_text", norm).withColumn("_key", fold(F.col("normalized_text")))
+    rows = blocks.where(F.col("role").isin(*FURNITURE)).withColumn("normalized_text", norm)
+    # Texts are compared by their digests, as a line may be as long as a page.
+    rows = rows.withColumn("_key", F.sha2(fold(F.col("normalized_text")), 256))
     twice = rows.where("role <> 'page_number' and normalized_text <> ''").groupBy("book_id", "role", "_key").agg((F.count_distinct("page_id") >= 2).alias("_again"))
     out = rows.join(twice, ["book_id", "role", "_key"], "left")
     return out.select("book_id", "page_index", "seq", "page_id", "block_id", "role", F.col("text").alias("raw_text"), "normalized_text", F.coalesce("_again", F.lit(False)).alias("repeated"))

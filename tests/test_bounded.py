@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folio.operators import findings as D
 from folio.operators import rendering as X
 from folio.operators import report as P
+from folio.plans import catalogue
 
 
 class Rows:
@@ -55,3 +56,13 @@ def test_segments_take_the_size_of_a_text_once(spark):
     assert rows._jdf.queryExecution().analyzed().toString().count("length(text") == 1
     got = {r.text: [tuple(x) for x in r.s] for r in rows.collect() if r.text}
     assert got == {"word": [(0, 1, []), (1, 2, ["f1"]), (2, 3, ["f1", "f2"]), (3, 4, ["f2"])]}
+
+
+def test_furniture_takes_two_lines_of_a_page(spark, tmp_path):
+    rows = [(i, t, "a") for i, t in enumerate([None, "", "one", "\n", "head\nmiddle\n\nfoot", "x\n"])]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("lang", F.lit("en")).write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalogue._furniture(spark, str(tmp_path))
+    want = catalogue.blocks(spark, str(tmp_path)).where("role <> 'paragraph'")
+    columns = ["book", "page", "number", "role", "seq", "text"]
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
+    assert "posexplode" not in got._jdf.queryExecution().optimizedPlan().toString()
