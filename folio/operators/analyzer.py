@@ -121,7 +121,8 @@ def positions(blocks: DataFrame) -> DataFrame:
     joins = F.col("_list") | F.col("_caption") | ((F.col("role") == "verse") & F.col("_alike")) | ((F.col("role") == "quote") & F.col("_alike") & ~other_language)
     coarse = coarse.withColumn("_new", F.when(F.col("_place") == 1, 0).otherwise((~joins).cast("int"))).withColumn("_in", F.sum("_new").over(w))
     # A page's first block goes on with the list at the end of the page before.
-    ends = coarse.groupBy(*page, "book_id").agg(F.count("*").alias("_blocks"), F.sum("_new").alias("_news"), F.min("physical").alias("_physical"), F.min_by("_item", "seq").alias("_first"), F.max_by("_item", "seq").alias("_last"))
+    # With page_id this reads the same columns as the rows it is joined to, and so one exchange serves both.
+    ends = coarse.groupBy(*page, "book_id", "page_id").agg(F.count("*").alias("_blocks"), F.sum("_new").alias("_news"), F.min("physical").alias("_physical"), F.min_by("_item", "seq").alias("_first"), F.max_by("_item", "seq").alias("_last"))
     b = Window.partitionBy("book_id").orderBy("page_index")
     follows = F.coalesce(F.lag("_physical").over(b) + 1 == F.col("_physical"), F.lit(False))
     ends = ends.withColumn("_starts", (~(follows & _list_goes_on(F.lag("_last").over(b), F.col("_first")))).cast("int"))

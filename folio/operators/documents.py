@@ -104,16 +104,38 @@ def _text(value: Column, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(value, path, kind)
 
 
-def _problem(v: Column) -> Column:
-    """What is wrong with a node; null if nothing is."""
-    kind, has = _text(v, "$.type"), lambda path, type_: F.try_variant_get(v, path, type_).isNotNull()
+def _typed(v: Column) -> Column:
+    """The fields of a node by the types of the format; null for what is missing or of another type."""
+    kind, get = _text(v, "$.type"), lambda path, type_: F.try_variant_get(v, path, type_)
+    items = lambda t: get(f"$.{CHILDREN_KEY[t]}", f"array<{CHILD_TYPE}>")
+    part = lambda key: F.struct(_text(v, f"$.{key}.node_id").alias("node_id"), get(f"$.{key}.spans", f"array<{SPAN_TYPE}>").alias("spans"), get(f"$.{key}.provenance", f"array<{FRAGMENT_TYPE}>").alias("provenance"))
+    fields = {
+        "kind": kind,
+        "node_id": _text(v, "$.node_id"),
+        "provenance": get("$.provenance", f"array<{FRAGMENT_TYPE}>"),
+        "spans": F.when(kind.isin(*PLAIN_TYPES), get("$.spans", f"array<{SPAN_TYPE}>")),
+        "parts": reduce(lambda c, t: F.when(kind == t, items(t)).otherwise(c), CHILDREN_KEY, F.lit(None)),
+        "list_kind": F.when(kind == "list", _text(v, "$.kind")),
+        "role": F.when(kind == "heading", _text(v, "$.role")),
+        "level": F.when(kind == "heading", get("$.level", "int")),
+        "label": F.when(kind == "footnote", _text(v, "$.label")),
+        "image": F.when(kind == "figure", part("image")),
+        "caption": F.when(kind == "figure", part("caption")),
+        "region": F.when(kind == "figure", get("$.image.source_region", REGION_TYPE)),
+    }
+    return F.struct(*(c.alias(k) for k, c in fields.items()))
+
+
+def _problem(n: Column) -> Column:
+    """What is wrong with a node (_typed); null if nothing is."""
+    kind = n["kind"]
     known = F.coalesce(kind.isin(*PLAIN_TYPES, *CHILDREN_KEY, "figure"), F.lit(False))
-    spans = F.when(kind.isin(*PLAIN_TYPES) & ~has("$.spans", f"array<{SPAN_TYPE}>"), "no spans")
-    parts = [F.when((kind == t) & ~has(f"$.{k}", f"array<{CHILD_TYPE}>"), f"no {k}") for t, k in CHILDREN_KEY.items()]
-    listed = F.when((kind == "list") & ~F.coalesce(_text(v, "$.kind").isin(*LIST_KINDS), F.lit(False)), "unknown kind of list")
-    role = F.when((kind == "heading") & _text(v, "$.role").isNull(), "no role")
-    image = F.when((kind == "figure") & (_text(v, "$.image.node_id").isNull() | ~has("$.image.source_region", REGION_TYPE)), "no image")
-    return F.coalesce(F.when(~known, F.concat(F.lit("unknown type "), F.coalesce(kind, F.lit("null")))), F.when(_text(v, "$.node_id").isNull(), "no node_id"), F.when(~has("$.provenance", f"array<{FRAGMENT_TYPE}>"), "no provenance"), spans, *parts, listed, role, image)
+    spans = F.when(kind.isin(*PLAIN_TYPES) & n["spans"].isNull(), "no spans")
+    parts = [F.when((kind == t) & n["parts"].isNull(), f"no {k}") for t, k in CHILDREN_KEY.items()]
+    listed = F.when((kind == "list") & ~F.coalesce(n["list_kind"].isin(*LIST_KINDS), F.lit(False)), "unknown kind of list")
+    role = F.when((kind == "heading") & n["role"].isNull(), "no role")
+    image = F.when((kind == "figure") & (n["image"]["node_id"].isNull() | n["region"].isNull()), "no image")
+    return F.coalesce(F.when(~known, F.concat(F.lit("unknown type "), F.coalesce(kind, F.lit("null")))), F.when(n["node_id"].isNull(), "no node_id"), F.when(n["provenance"].isNull(), "no provenance"), spans, *parts, listed, role, image)
 
 
 def _opened(rows: DataFrame, key: str) -> DataFrame:
@@ -122,41 +144,35 @@ def _opened(rows: DataFrame, key: str) -> DataFrame:
     return parsed.select("book_id", F.posexplode("_all").alias("place", "v"))
 
 
+def _nodes(rows: DataFrame) -> DataFrame:
+    """(book_id, place, n) of the nodes of (book_id, document). As a list of one item n is made once, and not again for each step that reads it."""
+    return _opened(rows, "nodes").select("book_id", "place", F.explode(F.array(_typed(F.col("v")))).alias("n"))
+
+
 def document_problems(rows: DataFrame) -> DataFrame:
     """(book_id, place, problem) of documents (book_id, document): place null for what is wrong with the whole."""
     v = F.try_parse_json("document")
     missing = F.when(v.isNull(), "not JSON").when(F.try_variant_get(v, "$.nodes", "array<variant>").isNull(), "no nodes").when(F.try_variant_get(v, "$.relationships", "array<variant>").isNull(), "no relationships")
     whole = rows.select("book_id", F.lit(None).cast("int").alias("place"), missing.alias("problem"))
     links = F.when(reduce(Column.__or__, (_text(F.col("v"), f"$.{k}").isNull() for k in RELATIONSHIP[:4])), "relationship without an end").when(_text(F.col("v"), "$.confidence", "double").isNull(), "relationship without confidence")
-    each = _opened(rows, "nodes").select("book_id", "place", _problem(F.col("v")).alias("problem"))
+    each = _nodes(rows).select("book_id", "place", _problem(F.col("n")).alias("problem"))
     return whole.unionByName(each).unionByName(_opened(rows, "relationships").select("book_id", "place", links.alias("problem"))).where("problem is not null")
 
 
 def document_nodes(rows: DataFrame) -> DataFrame:
     """NODE of documents (book_id, document); nodes with a problem are left out."""
-    v = F.col("v")
-    good = _opened(rows, "nodes").where(_problem(v).isNull())
-    kind, origin = _text(v, "$.type"), f"array<{FRAGMENT_TYPE}>"
-    typed = lambda child, name: F.struct(child["node_id"].alias("node_id"), F.lit(name).alias("node_type"), child["ordinal"].alias("ordinal"), child["marker"].alias("marker"), child["spans"].alias("spans"), child["provenance"].alias("provenance"))
-    inner = lambda t: F.transform(F.try_variant_get(v, f"$.{CHILDREN_KEY[t]}", f"array<{CHILD_TYPE}>"), lambda c: typed(c, CHILD_OF[t]))
-    part = lambda key, name: F.struct(_text(v, f"$.{key}.node_id").alias("node_id"), F.lit(name).alias("node_type"), F.lit(None).cast("int").alias("ordinal"), F.lit(None).cast(MARKER_TYPE).alias("marker"), F.coalesce(F.try_variant_get(v, f"$.{key}.spans", f"array<{SPAN_TYPE}>"), F.array().cast(f"array<{SPAN_TYPE}>")).alias("spans"), F.try_variant_get(v, f"$.{key}.provenance", origin).alias("provenance"))
-    figure = F.filter(F.array(part("image", "image"), part("caption", "caption")), lambda c: c["node_id"].isNotNull())
-    children = F.when(kind == "figure", figure)
-    for t in CHILDREN_KEY:
-        children = F.when(kind == t, inner(t)).otherwise(children)
-    return good.select(
-        "book_id",
-        (F.col("place") + 1).alias("node_pos"),
-        _text(v, "$.node_id").alias("node_id"),
-        kind.alias("node_type"),
-        F.when(kind == "heading", _text(v, "$.role")).alias("role"),
-        F.when(kind == "heading", _text(v, "$.level", "int")).alias("level"),
-        F.when(kind == "list", _text(v, "$.kind")).alias("list_kind"),
-        F.when(kind == "footnote", _text(v, "$.label")).alias("label"),
-        F.when(kind == "figure", F.try_variant_get(v, "$.image.source_region", REGION_TYPE)).alias("region"),
-        children.alias("children"),
-        F.when(kind.isin(*PLAIN_TYPES), F.try_variant_get(v, "$.spans", f"array<{SPAN_TYPE}>")).alias("spans"),
-        F.try_variant_get(v, "$.provenance", origin).alias("provenance"),
+    n = F.col("n")
+    kind = n["kind"]
+    typed = lambda child, name: F.struct(child["node_id"].alias("node_id"), name.alias("node_type"), child["ordinal"].alias("ordinal"), child["marker"].alias("marker"), child["spans"].alias("spans"), child["provenance"].alias("provenance"))
+    name = reduce(lambda c, t: F.when(kind == t, CHILD_OF[t]).otherwise(c), CHILDREN_KEY, F.lit(None))
+    part = lambda key: F.struct(n[key]["node_id"].alias("node_id"), F.lit(key).alias("node_type"), F.lit(None).cast("int").alias("ordinal"), F.lit(None).cast(MARKER_TYPE).alias("marker"), F.coalesce(n[key]["spans"], F.array().cast(f"array<{SPAN_TYPE}>")).alias("spans"), n[key]["provenance"].alias("provenance"))
+    figure = F.filter(F.array(part("image"), part("caption")), lambda c: c["node_id"].isNotNull())
+    children = F.when(kind == "figure", figure).otherwise(F.transform(n["parts"], lambda c: typed(c, name)))
+    own = ("role", "level", "list_kind", "label", "region")
+    return (
+        _nodes(rows)
+        .where(_problem(n).isNull())
+        .select("book_id", (F.col("place") + 1).alias("node_pos"), n["node_id"].alias("node_id"), kind.alias("node_type"), *(n[k].alias(k) for k in own), children.alias("children"), n["spans"].alias("spans"), n["provenance"].alias("provenance"))
     )
 
 

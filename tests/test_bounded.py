@@ -5,10 +5,12 @@ import re
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from folio.operators import analyzer as A
+from folio.operators import documents as J
 from folio.operators import findings as D
 from folio.operators import rendering as X
 from folio.operators import report as P
-from folio.plans import catalogue
+from folio.plans import books, catalogue
 
 
 class Rows:
@@ -66,3 +68,23 @@ def test_furniture_takes_two_lines_of_a_page(spark, tmp_path):
     columns = ["book", "page", "number", "role", "seq", "text"]
     assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
     assert "posexplode" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_nodes_of_documents_are_made_once(spark, tmp_path):
+    rows = [(i, "a", "\n".join(f"line {i} {k}" for k in range(20)), "en") for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = books.q70_document_round_trip(spark, str(tmp_path))
+    # What is compared and what is written as JSON is read from the nodes, and not made from the pages again.
+    assert "documents.parquet" not in " ".join(got.inputFiles())
+    assert got.count() > 60 and got.where("not same").count() == 0
+    typed = J.document_nodes(spark.createDataFrame([("b", "{}")], "book_id string, document string"))
+    assert typed._jdf.queryExecution().optimizedPlan().toString().count("$.spans") == 1
+
+
+def test_blocks_and_ends_of_pages_share_an_exchange(spark, tmp_path):
+    rows = [(i, "a", "one\ntwo\nthree", "en") for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    made = A.nodes(A.positions(A._blocks(A.ordered_pages(books.typed_pages(spark, str(tmp_path))))))
+    assert made.count() > 6
+    made.collect()
+    assert "ReusedExchange" in made._jdf.queryExecution().executedPlan().toString()
