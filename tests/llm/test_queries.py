@@ -1,12 +1,15 @@
 """Every registered query of this subpackage, as a query, on tables with nulls, empty and long texts, ties, repeats and clashing names."""
 
 import hashlib
+import math
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from folio.llm import editdistance, lines, mixing, near_dedup, pieces, pseudonyms, quality, queries, repeats, textbytes, toxicity
+from folio.llm import editdistance, graph, lines, mixing, near_dedup, pieces, pseudonyms, quality, queries, repeats, textbytes, toxicity
+from folio.llm.scratch import Scratch
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _id0 long, _text0 string, _removed0 string, _copies0 long, _host0 long"
 
@@ -198,3 +201,33 @@ def test_lines_of_a_bucket_are_told_apart_by_their_counts():
     table["chars"], table["bag"], table["two"] = chars, bag, two
     found = [tuple(sorted(p)) for i, j in lines._near([r.tobytes() for r in table], np.arange(len(texts))) for p in zip(i.tolist(), j.tolist(), strict=True)]
     assert found == [(0, 26)]
+
+
+def test_line_dedup_leaves_one_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("folio.llm.scratch.shared_root", lambda _: str(tmp_path))
+    df = spark.createDataFrame([(i, f"a line of several words that is in every text\nand one more of {'xyz'[i % 3]} its own") for i in range(9)], "doc_id long, text string")
+    out = lines.dedup_lines(df)
+    assert len(list(tmp_path.glob("folio-lines-*/[0-9]*"))) == 1
+    assert sorted(r.n_removed for r in out.collect()) == [0, 2, 2, 2, 2, 2, 2, 2, 2]
+
+
+def test_members_of_a_bucket_meet_those_of_like_size_only(spark, monkeypatch):
+    monkeypatch.setattr(graph, "CHUNK_ROWS", 16)
+    sizes = [int(4 * 1.04**i) for i in range(120)]
+    width = math.log(1.25) * (1 + 1e-9)
+    rows = [(1, i, i, int(math.log(n) / width)) for i, n in enumerate(sizes)]
+    sigs = spark.createDataFrame([(i, str(n).encode()) for i, n in enumerate(sizes)], "id long, sig binary")
+
+    def tiles(sig, c):
+        n = np.array([int(x) for x in sig])
+        i, j = np.nonzero(100 * np.minimum(n[:, None], n) >= 80 * np.maximum(n[:, None], n))
+        yield i[i < j], j[i < j]
+
+    scratch = Scratch(spark, "test")
+    members = spark.createDataFrame(rows, "bucket long, id long, c long, band int")
+    got = graph._across(members, lambda ids: sigs.join(ids, "id"), None, tiles, scratch)
+    found = [tuple(r) for r in got.collect()]
+    want = {(i, j) for i in range(120) for j in range(i + 1, 120) if 100 * sizes[i] >= 80 * sizes[j]}
+    assert set(found) == want and len(found) == len(want)
+    # One component needs no comparison.
+    assert graph._across(members.withColumn("c", F.lit(0).cast("long")), lambda ids: sigs.join(ids, "id"), None, tiles, scratch).count() == 0
