@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         # A doc_id with several texts has several signatures, each of which is compared.
         return _signed(texts.select(F.col("doc_id").alias("id"), "text"), words)
 
-    links = bucket_links(members, traits, verify, scratch, f"100 * least(n, other_n) >= {int(percent)} * greatest(n, other_n)", signed, _near(percent))
+    links = bucket_links(members, traits, verify, scratch, lambda n, other: 100 * F.least(n, other) >= int(percent) * F.greatest(n, other), signed, _near(percent))
     found = components(links, scratch)
     named = scratch.save(reps.select("set_hash", "n_shingles", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select("set_hash", "n_shingles", F.coalesce("component", "rep").alias("component_id")))
     joined = live.select("doc_id", "n_shingles", "set_hash").join(named, ["set_hash", "n_shingles"]).select("doc_id", "n_shingles", "component_id")

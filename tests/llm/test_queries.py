@@ -227,3 +227,49 @@ def test_chunks_of_a_bucket_meet_once(spark, monkeypatch):
     found = [tuple(r) for r in graph._across(members, lambda ids: sigs.join(ids, "id"), None, tiles, Scratch(spark, "test")).collect()]
     want = [(i, j) for i in range(120) for j in range(i + 1, 120) if 100 * sizes[i] >= 80 * sizes[j] and i % 50 != j % 50]
     assert sorted(found) == sorted([*want, *((i, j) for i, j in want if 60 <= i < j < 70)])
+
+
+def test_pairs_that_do_not_link_are_no_rows(spark, monkeypatch):
+    """Near copies below the similarity share their blocks: before, all of their pairs were rows, and each was one again to be verified."""
+    monkeypatch.setattr(graph, "JOINED_ROWS", 4)
+    monkeypatch.setattr(graph, "CHUNK_ROWS", 16)
+    rng = random.Random(3)
+    voc = ["".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(400)]
+    base = [rng.choice(voc) for _ in range(40)]
+    texts = []
+    for _ in range(40):
+        w = list(base)
+        for p in rng.sample(range(4, 40), 8):
+            w[p] = rng.choice(voc)
+        texts.append(" ".join(w))
+    texts += [texts[7] + " x", texts[30][:-3]]
+    made, across = [], graph._across
+
+    def counted(*a, **k):
+        found = across(*a, **k).distinct()
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(graph, "_across", counted)
+    out = lines.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            n = max(len(texts[i]), len(texts[j]))
+            if editdistance.distances([texts[i]], [texts[j]])[0] * 5 <= n:
+                a, b = sorted((group[i], group[j]))
+                group = [a if g == b else g for g in group]
+    assert {r.doc_id for r in out.collect() if r.n_removed} == {i for i, g in enumerate(group) if g != i}
+    assert len(made) == 1 and made[0] < len(texts)
+
+
+def test_links_of_a_bucket_are_fewer_than_its_lines():
+    texts = ["some words of a line that is near all of the others " + c * 4 for c in "abcdefghijkl"]
+    _, _, _, _, chars, _, features, sim, more_sim, bag, two, _, _ = lines._signatures(texts)
+    table = np.zeros(len(texts), lines._SIG)
+    table["chars"], table["features"], table["sim"], table["more_sim"], table["bag"], table["two"] = chars, features, sim.view(np.int64), more_sim.view(np.int64), bag, two
+    sigs = [r.tobytes() + t.encode() for r, t in zip(table, texts, strict=True)]
+    every = lambda i, j: np.ones(len(i), bool)
+    assert sum(len(i) for i, _ in lines._near([r.tobytes() for r in table], np.arange(12))) == 66
+    assert sum(len(i) for i, _ in lines._linking(sigs, np.arange(12), every)) == 11
+    assert sum(len(i) for i, _ in lines._linking(sigs, np.arange(12), lambda i, j: ~every(i, j))) == 0
