@@ -5,9 +5,9 @@ the byte k-mers in it. Equal windows have equal minimizers, so runs dealt out by
 that can be equal, at about one row of 17 bytes for 16 bytes of text.
 
 Runs that are equal as a whole are settled by their hashes. Where runs of one minimizer differ, their texts are
-fetched and an enhanced suffix array is built over them: sorted suffixes, common-prefix lengths, and a scan with a
-stack that yields the intervals of the common-prefix tree. An interval whose suffixes have different characters on
-their left is a maximal repeat; it is put out with all its occurrences. Minimizers with more than HOT_RUNS different
+fetched and their suffixes are sorted by the first ``least`` bytes, by prefix doubling: the intervals of the common-prefix
+tree at that depth. A byte goes if an interval's string covers it and a smaller document is in the interval; what lies deeper
+in the tree (maximal_repeats) covers the same bytes with the same documents. Minimizers with more than HOT_RUNS different
 runs (a passage that stands in a large share of all documents) are split into their windows, whose owners are found
 in buckets by hash. Equality of runs is that of a 64-bit hash of all their bytes and of their minimizer, equality of
 windows that of two 64-bit hashes.
@@ -33,6 +33,8 @@ HOT_RUNS = 1000
 BUCKET_BYTES = 8 << 20
 BUCKET_WINDOWS = 500_000
 MIN_BUCKETS = 1000
+#: Runs that are compared by their bytes go to one task for so many of them: long work for few bytes.
+COMPARED_BYTES = 4 << 20
 _SLICE = 2 << 20
 
 
@@ -94,10 +96,19 @@ def _by_doc(docs: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tu
         return
     order = np.lexsort((start, docs))
     docs, start, end = docs[order], start[order], end[order]
-    cut = np.flatnonzero(np.diff(docs, prepend=docs[0] - 1))
-    for a, b in zip(cut, [*cut[1:], len(docs)], strict=True):
-        s, e = _joined(start[a:b], end[a:b])
-        yield int(docs[a]), np.stack([s, e]).astype(np.int64).tobytes()
+    new_doc = np.append(True, docs[1:] != docs[:-1])
+    # One running maximum serves all documents, as those of each are moved beyond those before.
+    moved = (np.cumsum(new_doc) - 1) * (int(end.max()) + 1)
+    reach = np.maximum.accumulate(end + moved)
+    new = new_doc.copy()
+    new[1:] |= start[1:] + moved[1:] > reach[:-1]
+    first = np.flatnonzero(new)
+    stop = (reach - moved)[np.append(first[1:] - 1, len(start) - 1)]
+    start, docs = start[first], docs[first]
+    cut = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
+    starts, stops = start.astype(np.int64).tobytes(), stop.astype(np.int64).tobytes()
+    for d, a, b in zip(docs[cut].tolist(), (8 * cut).tolist(), [*(8 * cut[1:]).tolist(), len(starts)], strict=True):
+        yield d, starts[a:b] + stops[a:b]
 
 
 def _joined(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,6 +120,20 @@ def _joined(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return start[last], reach[np.append(last[1:] - 1, len(start) - 1)]
 
 
+def _owners(key: np.ndarray, h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The least doc of those with the same key and h."""
+    both = mix(key) ^ h
+    order = np.argsort(both)
+    same = np.append(both[order[1:]] == both[order[:-1]], False)
+    same[1:] |= same[:-1].copy()
+    several, owner = order[same], doc.copy()
+    order = several[np.lexsort((doc[several], h[several], key[several]))]
+    new = np.ones(len(order), bool)
+    new[1:] = (key[order[1:]] != key[order[:-1]]) | (h[order[1:]] != h[order[:-1]])
+    owner[order] = doc[order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    return owner
+
+
 def _deal(docs: DataFrame, least: int, buckets: int) -> DataFrame:
     bits = U(64 - buckets.bit_length() + 1)
 
@@ -122,17 +147,15 @@ def _deal(docs: DataFrame, least: int, buckets: int) -> DataFrame:
                 row = np.searchsorted(offsets, start, "right") - 1
                 doc, start = ids[a:b][row], start - offsets[row]
                 # Of equal runs in the slice only those of the least document go on; the others' bytes are settled.
-                order = np.lexsort((doc, h, key))
-                new = np.ones(len(order), bool)
-                new[1:] = (key[order[1:]] != key[order[:-1]]) | (h[order[1:]] != h[order[:-1]])
-                owner = np.empty(len(order), np.int64)
-                owner[order] = doc[order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+                owner = _owners(key, h, doc)
                 gone = doc > owner
                 out = [(int(d) % buckets, d, x) for d, x in _by_doc(doc[gone], start[gone], (start + size + least - 1)[gone])]
                 stay = np.flatnonzero(~gone)
                 where = (key[stay] >> bits).astype(np.int64) if buckets > 1 else np.zeros(len(stay), np.int64)
-                stay = stay[np.lexsort((start[stay], doc[stay], where))]
-                where = (key[stay] >> bits).astype(np.int64) if buckets > 1 else np.zeros(len(stay), np.int64)
+                # Runs of a document are in order already.
+                by = np.argsort(doc[stay], kind="stable")
+                by = by[np.argsort(where[by].astype(np.uint16) if buckets <= 1 << 16 else where[by], kind="stable")]
+                stay, where = stay[by], where[by]
                 cut = np.flatnonzero(np.diff(where, prepend=-1))
                 low = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
                 for x, y in zip(cut, [*cut[1:], len(stay)], strict=True):
@@ -290,7 +313,27 @@ def maximal_repeats(buf: np.ndarray, offsets: np.ndarray, least: int) -> Iterato
                 stack.append([now, first, mark])
 
 
-def _compare(segments: DataFrame, least: int) -> DataFrame:
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """Of each key the number of lesser different ones."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    out = np.empty(len(keys), np.uint64)
+    out[order] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1])) if len(keys) else 0
+    return out
+
+
+def intervals(buf: np.ndarray, at: np.ndarray, least: int) -> np.ndarray:
+    """For each suffix of ``at``, of ``least`` bytes or more, the number of its interval at depth ``least`` in the common-prefix tree."""
+    # Suffixes of all places, sorted by their first 8, 16, 32... bytes; the last two stretches overlap.
+    ranks, size = _ranks(eights(buf)[: len(buf)].byteswap()), 8
+    while size * 2 < least:
+        later = np.zeros(len(buf), np.uint64)
+        later[: max(0, len(buf) - size)] = ranks[size:]
+        ranks, size = _ranks(ranks << U(32) | later), size * 2
+    return _ranks(ranks[at] << U(32) | ranks[at + least - size]).astype(np.int64)
+
+
+def _compare(segments: DataFrame, least: int, tasks: int) -> DataFrame:
     """kind 0 marks from (grp, doc_id, start, bytes), partitioned and sorted by grp."""
 
     def settle(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -298,13 +341,15 @@ def _compare(segments: DataFrame, least: int) -> DataFrame:
         offsets = np.concatenate([[0], np.cumsum([len(r[3]) for r in rows])])
         doc, start = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
         row_of = np.repeat(np.arange(len(rows)), np.diff(offsets))
+        at = np.flatnonzero(offsets[1:][row_of] - np.arange(len(buf)) >= least)
+        interval, owner = intervals(buf, at, least), doc[row_of[at]]
+        smallest = np.full(len(at), np.iinfo(np.int64).max)
+        np.minimum.at(smallest, interval, owner)
+        late = at[owner > smallest[interval]]
         # How many more removed stretches begin than end at each byte.
         change = np.zeros(len(buf) + 1, np.int32)
-        for size, places in maximal_repeats(buf, offsets, least):
-            d = doc[row_of[places]]
-            late = places[d > d.min()]
-            change[late] += 1  # the starts of a repeat differ
-            np.subtract.at(change, late + size, 1)
+        change[late] += 1
+        change[late + least] -= 1
         gone = np.cumsum(change[:-1]) > 0
         edge = np.zeros(len(buf), bool)
         edge[offsets[:-1]] = True
@@ -326,7 +371,7 @@ def _compare(segments: DataFrame, least: int) -> DataFrame:
         if rows:
             yield from settle(rows)
 
-    return segments.repartition("grp").sortWithinPartitions("grp").mapInArrow(run, _MARK)
+    return segments.repartition(tasks, "grp").sortWithinPartitions("grp").mapInArrow(run, _MARK)
 
 
 def _window_hashes(buf: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -441,10 +486,10 @@ def remove_repeats(docs: DataFrame, least: int = 50, hot_runs: int = HOT_RUNS) -
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = 1 << max(MIN_BUCKETS, size // BUCKET_BYTES).bit_length()
     marks = scratch.save(_settle(_deal(docs.where("doc_id is not null"), least, buckets), least, hot_runs))
-    hot = marks.where("kind = 2").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    whole, hot = (marks.where(f"kind = {k}").agg(F.coalesce(F.sum(F.col("size") + (least - 1) * (k == 1)), F.lit(0))).first()[0] for k in (1, 2))
     asked = marks.where("kind > 0").groupBy("doc_id").agg(F.collect_list(F.struct("kind", "grp", "start", "size")).alias("asked"))
     cut = scratch.save(_cut(docs.join(asked, "doc_id").select("doc_id", "text", "asked"), least, max(MIN_BUCKETS, hot // BUCKET_WINDOWS)))
-    more = scratch.save(_compare(cut.where("kind = 1").select("grp", "doc_id", "start", "bytes"), least))
+    more = scratch.save(_compare(cut.where("kind = 1").select("grp", "doc_id", "start", "bytes"), least, 1 + whole // COMPARED_BYTES))
     split = scratch.save(_settle_windows(cut.where("kind = 2").select("grp", "bytes"), least))
     settled = marks.where("kind = 0").select("doc_id", "blob").unionByName(more.select("doc_id", "blob")).unionByName(split)
     by_doc = settled.groupBy("doc_id").agg(F.collect_list("blob").alias("blobs"))

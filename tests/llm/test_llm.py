@@ -111,6 +111,27 @@ def test_maximal_repeats():
         assert got == want
 
 
+def test_intervals_of_windows(monkeypatch):
+    """Sorts of runs to compare don't grow with the length of what repeats, and intervals are those of equal windows."""
+    sorts, real = [], repeats._ranks
+    monkeypatch.setattr(repeats, "_ranks", lambda keys: sorts.append(len(keys)) or real(keys))
+    rng = random.Random(4)
+    for text, least in [(bytes(rng.choice(b"ab\0") for _ in range(3000)), 20), (b"ab" * 20000, 50), (b"a" * 199, 32), (b"a" * 200, 100)]:
+        sorts.clear()
+        at = np.arange(len(text) - least + 1)
+        got = repeats.intervals(np.frombuffer(text, np.uint8), at, least)
+        of = {}
+        assert all(of.setdefault(text[i : i + least], n) == n for i, n in zip(at.tolist(), got.tolist(), strict=True))
+        assert len(set(of.values())) == len(of) and len(sorts) <= 5
+
+
+def test_stretches_by_document():
+    """Stretches are joined within their document only."""
+    docs, start, end = (np.array(x) for x in ([7, 3, 7, 3, 7, 9], [0, 5, 4, 0, 20, 1], [4, 9, 12, 3, 30, 2]))
+    got = {d: np.frombuffer(b, np.int64).reshape(2, -1).tolist() for d, b in repeats._by_doc(docs, start, end)}
+    assert got == {3: [[0, 5], [3, 9]], 7: [[0, 20], [12, 30]], 9: [[1], [2]]}
+
+
 def test_top_k(spark):
     rng = random.Random(2)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(6)], 0) for i in range(200)] + [(200, None, 0), (201, [float("nan")] * 6, 0), (202, [], 0), (203, [0.5, None], 0)]
