@@ -229,6 +229,30 @@ def test_chunks_of_a_bucket_meet_once(spark, monkeypatch):
     assert sorted(found) == sorted([*want, *((i, j) for i, j in want if 60 <= i < j < 70)])
 
 
+def test_large_buckets_are_dealt_in_rounds(spark, monkeypatch):
+    """Rows hold texts, one for each bucket of a line: before, those of all buckets were on disk at once."""
+    monkeypatch.setattr(graph, "CHUNK_ROWS", 16)
+    monkeypatch.setattr(graph, "LEAST_ROUND_BYTES", 1)
+    # Every line is in two of four buckets of several chunks.
+    rows = [(b, i, i % 20, 40) for i in range(80) for b in (i % 2, 2 + i // 2 % 2)]
+    sigs = spark.createDataFrame([(i, str(i).encode()) for i in range(80)], "id long, sig binary")
+
+    def tiles(sig, c, here):
+        n = np.array([int(x) for x in sig])
+        i, j = np.nonzero((abs(n[:, None] - n) <= 8) & (c[:, None] != c))
+        own = here(i, j)
+        yield i[own & (i < j)], j[own & (i < j)]
+
+    scratch, saved = Scratch(spark, "test"), []
+    save = scratch.save
+    monkeypatch.setattr(scratch, "save", lambda df, rows=None: saved.append(save(df, rows)) or saved[-1])
+    members = spark.createDataFrame(rows, "bucket long, id long, c long, members long")
+    found = sorted(tuple(r) for r in graph._across(members, lambda ids: sigs.join(ids, "id"), None, tiles, scratch, once=True).collect())
+    assert found == [(i, j) for i in range(80) for j in range(i + 1, 80) if j - i <= 8 and (j - i) % 20 and ((j - i) % 2 == 0 or i // 2 % 2 == j // 2 % 2)]
+    parts = [t.count() for t in saved if t.columns == ["a", "b"]]
+    assert len(parts) > 4 and max(parts) < len(found) / 2
+
+
 def test_pairs_that_do_not_link_are_no_rows(spark, monkeypatch):
     """Near copies below the similarity share their blocks: before, all of their pairs were rows, and each was one again to be verified."""
     monkeypatch.setattr(graph, "JOINED_ROWS", 4)
