@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from folio.functions.text import collapse, ends_sentence, fold, footnote_label, starts_lower, verse_line_id, without_page_number
 from folio.operators.evidence import BLOCK_TYPE, block_text, document_spans, provenance
+from folio.sources.outputs import dropped, written
 
 #: The block at one end of a page, with the node that it stands for.
 PAIR_END = f"struct<block:{BLOCK_TYPE},role:string,node_id:string>"
@@ -120,6 +121,8 @@ def positions(blocks: DataFrame) -> DataFrame:
     other_language = F.coalesce((F.col("_known._run") == F.col("_run")) & (F.col("_known.language") != F.col("language")), F.lit(False))
     joins = F.col("_list") | F.col("_caption") | ((F.col("role") == "verse") & F.col("_alike")) | ((F.col("role") == "quote") & F.col("_alike") & ~other_language)
     coarse = coarse.withColumn("_new", F.when(F.col("_place") == 1, 0).otherwise((~joins).cast("int"))).withColumn("_in", F.sum("_new").over(w))
+    # The first block that a node has on the page.
+    coarse = coarse.withColumn("head", F.last(F.when((F.col("_place") == 1) | (F.col("_new") == 1), F.col("block_id")), True).over(w))
     # A page's first block goes on with the list at the end of the page before.
     # With page_id this reads the same columns as the rows it is joined to, and so one exchange serves both.
     ends = coarse.groupBy(*page, "book_id", "page_id").agg(F.count("*").alias("_blocks"), F.sum("_new").alias("_news"), F.min("physical").alias("_physical"), F.min_by("_item", "seq").alias("_first"), F.max_by("_item", "seq").alias("_last"))
@@ -219,9 +222,8 @@ def linked(pairs: DataFrame, *keep: str) -> DataFrame:
 def continuations(pages: DataFrame, placed: DataFrame) -> DataFrame:
     """Candidates (book_id, page_index, relationship_id, kind, source_id, target_id, confidence, reasons) from a page's last block
     to the first of the next, where their physical numbers follow."""
-    # A node that goes on over pages is a list, whose items stand for themselves.
-    head = F.first("block_id").over(Window.partitionBy("at", "page_index", "node_no").orderBy("pos"))
-    named = placed.withColumn("node_id", F.concat(head, F.lit(":node:"), F.col("node_type")))
+    # A node that goes on over pages is a list, whose items stand for themselves. Without a window, tasks send a row a page only.
+    named = placed.withColumn("node_id", F.concat("head", F.lit(":node:"), F.col("node_type")))
     edge = F.struct("block", "role", _node_of_block(F.col("role"), F.col("block"), F.col("node_id")).alias("node_id"))
     ends = named.groupBy("at", "book_id", "page_index").agg(F.max_by(edge, F.when(F.col("role") != "footnote", F.col("pos"))).alias("left"), F.min_by(edge, F.col("pos")).alias("right"))
     w = Window.partitionBy("book_id").orderBy("page_index")
@@ -280,9 +282,14 @@ def resolved_chains(flow: DataFrame, links: DataFrame) -> tuple[DataFrame, DataF
     apart = F.col("node_type") == "footnote"
     order = Window.partitionBy("book_id").orderBy("_head", "_apart", "_key")
     rows = rows.withColumn("_apart", apart).withColumn("_key", F.when(apart, F.col("node_pos")).otherwise(F.col("_head")))
-    placed = rows.select(F.struct("book_id", "node_pos").alias("_at"), F.dense_rank().over(order).alias("_place"))
+    placed = rows.select("book_id", F.struct("book_id", "node_pos").alias("_at"), F.dense_rank().over(order).alias("_place"))
+    placed = placed.select("_at", "_place", F.count("*").over(Window.partitionBy("book_id", "_place")).alias("_members"))
     part = F.struct("node_pos", "node_id", "spans", "provenance")
-    gathered = flow.withColumn("_at", F.struct("book_id", "node_pos")).join(placed, "_at").groupBy("book_id", "_place").agg(F.min_by(F.struct(*flow.columns), "node_pos").alias("n"), F.sort_array(F.collect_list(part)).alias("parts"))
+    node, parts = F.struct(*flow.columns), F.sort_array(F.collect_list(part))
+    of_place = flow.withColumn("_at", F.struct("book_id", "node_pos")).join(placed, "_at")
+    # Nodes that stay as they are need no second exchange.
+    alone = of_place.where("_members = 1").select("book_id", "_place", node.alias("n"), F.array(part).alias("parts"))
+    gathered = of_place.where("_members > 1").groupBy("book_id", "_place").agg(F.min_by(node, "node_pos").alias("n"), parts.alias("parts")).unionByName(alone)
     rest = F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0)))
     more = F.flatten(F.transform(rest, lambda p: p["provenance"]))
     kids = F.col("n.children")
@@ -342,6 +349,22 @@ def inset_candidates(placed: DataFrame) -> DataFrame:
     return rows.select("book_id", "pos", F.concat(ids[0], F.lit(":candidate:inset")).alias("candidate_id"), F.lit("inset").alias("kind"), F.lit("unknown").alias("role"), ids.alias("source_block_ids"), F.when(F.col("headed"), 0.90).otherwise(0.75).alias("confidence"), reasons.alias("reasons"))
 
 
+def nodes_and_references(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """nodes of analyze(), and those of its relationships that refer to footnotes, step by step: each step's table is written, so that its
+    shuffle files are gone when the next begins, and removed as soon as it has been read."""
+    require_unique(pages.select("book_id", "page.page_id"), ["book_id", "page_id"], "page_id")
+    ordered = ordered_pages(pages)
+    # What no step reads is left out, so that both sides of a join of positions read the same columns, and one exchange serves them.
+    placed = written(positions(_blocks(ordered)).drop("text", "printed"), "placed")
+    refs = written(footnote_references(placed), "references")
+    links = written(continuations(ordered, placed), "links")
+    flow = written(nodes(placed), "flow")
+    dropped(placed)
+    merged = written(resolved_chains(flow, links)[0], "nodes")
+    dropped(flow, links)
+    return merged, refs
+
+
 def analyze(pages: DataFrame) -> Analysis:
     """The structure of every book in pages (book_id, page_pos, page_number, page). Raises ValueError if a page_id occurs
     twice in a book. Pages without blocks count in the order of pages; an empty table gives empty tables."""

@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_root(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a temporary folder only where it is unset and the master is local."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -29,10 +32,26 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def written(rows: DataFrame, name: str) -> DataFrame:
-    """rows, written to a table of its own in the shared folder and read back: for what several steps read whose plan is long."""
-    path = f"{shared_root(rows.sparkSession)}/folio-{name}-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    """rows, written to a table of its own in the shared folder and read back: for what several steps read whose plan is long. The shuffle
+    files of the job go with it."""
+    spark = rows.sparkSession
+    path = f"{shared_root(spark)}/folio-{name}-{uuid.uuid4().hex}"
+    kept = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, kept)
+    out = spark.read.schema(rows.schema).parquet(path)
+    out._folio_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes written tables that no later step reads."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._folio_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _folder(root: str) -> tuple[pafs.FileSystem, str]:

@@ -90,3 +90,29 @@ def test_blocks_and_ends_of_pages_share_an_exchange(spark, tmp_path):
     # Documents are read for the places of the pages and once for the pages, not for each side of the join.
     final = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("FileScan parquet") == 2
+
+
+def test_analysis_in_steps_leaves_one_table(spark, tmp_path, monkeypatch):
+    """Shuffles of a whole analysis were on disk at once; the tables of the steps go as soon as they were read."""
+    rows = [(i, "ab"[i % 2], "\n".join(f"line {i} {k} goes on" for k in range(20)), "en") for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    pages, shared = books.typed_pages(spark, str(tmp_path)), tmp_path / "shared"
+    monkeypatch.setattr("folio.sources.outputs.shared_root", lambda _: str(shared))
+    whole = A.analyze(pages)
+    nodes, references = A.nodes_and_references(pages)
+    assert len(list(shared.iterdir())) == 2
+    assert sorted(map(str, nodes.collect())) == sorted(map(str, whole.nodes.collect())) and nodes.count() > 60
+    assert sorted(map(str, references.collect())) == sorted(map(str, whole.relationships.where("kind = 'footnote_ref'").collect())) and references.count()
+    got = books._semantic(spark, str(tmp_path))
+    assert len(list(shared.iterdir())) == 3 and got.count() == nodes.count()
+
+
+def test_ends_of_pages_are_found_before_the_exchange(spark, tmp_path):
+    rows = [(i, "a", "one\ntwo\nthree", "en") for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    ordered = A.ordered_pages(books.typed_pages(spark, str(tmp_path)))
+    A.positions(A._blocks(ordered)).write.parquet(f"{tmp_path}/placed")
+    links = A.continuations(ordered, spark.read.parquet(f"{tmp_path}/placed"))
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    # The first block of a node comes with its place: no window over a page's blocks, and so no exchange of them.
+    assert "first(block_id" not in plan
